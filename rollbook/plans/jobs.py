@@ -88,10 +88,9 @@ def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
         return False
 
     register = store.read("register")
-    organisation = store.read("organisation")
     if not store.finished("organisation", run):
-        merged = organisations.upsert_organisation(organisation, register, as_of)
-        organisation = store.write("organisation", merged.next, run)
+        merged = organisations.upsert_organisation(store.read("organisation"), register, as_of)
+        store.write("organisation", merged.next, run)
 
     tables = ["sic_code", "code_analytics", "category_analytics"]
     if not all(store.finished(name, run) for name in tables):
@@ -110,7 +109,9 @@ def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
         refreshed = refresh_register_addresses(register, store.read("post_code_mappings"))
         register = store.write("register", refreshed, run)
     if not store.finished("geo_location", run):
-        geo = refresh_locations(store.read("geo_location"), register, as_of, organisation)
+        # The organisations were just taken from this register, so every row has
+        # its parent and the check would only cost a join.
+        geo = refresh_locations(store.read("geo_location"), register, as_of)
         store.write("geo_location", geo, run)
 
     store.write("filetracker", control.mark_done(tracker, as_of), run)

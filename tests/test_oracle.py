@@ -1,0 +1,62 @@
+"""Every registered query against DuckDB, as values, types and row counts."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_module
+
+SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+KINDS = {
+    "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double",
+    "DATE": "date", "BOOLEAN": "boolean",
+}
+QUERIES = entry_module.queries()
+ORACLES = entry_module.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"create view {table} as select * from '{SF_DIR}/{table}.parquet'"
+        )
+    yield connection
+    connection.close()
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda row: tuple((value is None, str(value)) for value in row))
+
+
+def test_every_query_has_its_text():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query(spark, duck, name):
+    frame = QUERIES[name](spark, SF_DIR)
+    columns = sorted(frame.columns)
+    result = duck.execute(ORACLES[name])
+    described = {column[0]: str(column[1]) for column in result.description}
+    assert sorted(described) == columns
+    types = dict(frame.dtypes)
+    for column in columns:
+        kind = described[column]
+        if kind in KINDS:
+            assert types[column] == KINDS[kind], column
+    order = [column[0] for column in result.description]
+    positions = [order.index(column) for column in columns]
+    expected = ordered([tuple(row[i] for i in positions) for row in result.fetchall()])
+    actual = ordered([tuple(row) for row in frame.select(*columns).collect()])
+    assert len(actual) == len(expected)
+    assert actual == expected
+    assert actual, "a check over whole tables should have rows"
