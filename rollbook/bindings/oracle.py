@@ -76,13 +76,14 @@ from filled""",
 
 # The location upsert occurs with two batches.
 GEO_AFTER = """
-select coalesce(p.id, (select max(id) from geo_prev)+b.number) id,
+select coalesce(p.id, (select max(id) from geo_prev)+1+b.number) id,
   coalesce(p.organisation_id,b.organisation_id) organisation_id, coalesce(p.post_code,b.post_code) post_code, md5_key,
   case when b.number is not null then 'HEAD_OFFICE' else p.address_type end address_type,
   case when p.id is null then 'UK' else p.country end country,
   case when b.number is not null then @AS_OF else p.date_last_modified end date_last_modified,
   case when p.id is null then 'location insert' when b.number is not null then 'location update' else p.last_modified_by end last_modified_by
-from geo_prev p full join (select *, row_number() over (order by md5_key) number from @BATCH) b using (md5_key)"""
+from geo_prev p full join (select *, (row_number() over (partition by substr(md5_key,1,4) order by md5_key)-1)*65536
+  +cast('0x'||substr(md5_key,1,4) as bigint) number from @BATCH) b using (md5_key)"""
 SHARED["geo_after"] = GEO_AFTER.replace("@BATCH", "geo_batch")
 SHARED["refreshed_geo_after"] = GEO_AFTER.replace("@BATCH", "refreshed_batch")
 

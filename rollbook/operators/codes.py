@@ -82,15 +82,15 @@ def code_candidates(register: DataFrame, as_of: dt.date) -> DataFrame:
 
     A text without digits gives a NULL code and a NULL key.
     """
-    code = c.first_digits(F.col("text"))
     return (
         unpivot_codes(register, ["company_number"])
         .filter(F.col("text").isNotNull())
+        .select("company_number", c.first_digits(F.col("text")).alias("code"))
         .select(
-            code.alias("code"),
+            "code",
             c.organisation_id(F.col("company_number")).alias("organisation_id"),
             "company_number",
-            c.content_key(F.col("company_number"), code).alias("md5"),
+            c.content_key(F.col("company_number"), F.col("code")).alias("md5"),
             F.lit(as_of).alias("date_last_modified"),
         )
     )

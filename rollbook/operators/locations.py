@@ -54,13 +54,17 @@ def lacks_county() -> Column:
 
 
 def _with_new_county(register: DataFrame, mapping: DataFrame) -> DataFrame:
-    keyed = register.withColumn("post_key", c.without_blanks(F.col("reg_address_postcode")))
+    """The register with ``new_county`` where a county is missing and known."""
+    postcode = c.without_blanks(F.col("reg_address_postcode"))
+    keyed = register.withColumn("post_key", F.when(lacks_county(), postcode))
     return lookup(keyed, "post_key", county_by_postcode(mapping), "new_county")
 
 
 def county_candidates(register: DataFrame, mapping: DataFrame) -> DataFrame:
     """(organisation_id, new_county) of the organisations whose county can be filled."""
-    lacking = register.filter(lacks_county()).select("organisation_id", "reg_address_postcode")
+    lacking = register.filter(lacks_county()).select(
+        "organisation_id", "reg_address_county", "reg_address_postcode"
+    )
     return (
         _with_new_county(lacking, mapping)
         .filter(F.col("new_county").isNotNull())
@@ -72,13 +76,14 @@ def county_candidates(register: DataFrame, mapping: DataFrame) -> DataFrame:
 def fill_counties(register: DataFrame, mapping: DataFrame) -> DataFrame:
     """Fill a missing county by postcode.
 
-    Only the rows that lack one go through the lookup; the rest stays in place.
+    Only the rows that lack one are looked up; the rest is not shuffled.
     """
-    lacking = F.coalesce(lacks_county(), F.lit(False))
-    filled = _with_new_county(register.filter(lacking), mapping).withColumn(
-        "reg_address_county", F.col("new_county")
+    county = F.coalesce("reg_address_county", "new_county")
+    return (
+        _with_new_county(register, mapping)
+        .withColumn("reg_address_county", county)
+        .select(*register.columns)
     )
-    return register.filter(~lacking).unionByName(filled.select(*register.columns))
 
 
 def add_geo_keys(register: DataFrame) -> DataFrame:
@@ -137,7 +142,7 @@ def upsert_locations(target: DataFrame, rows: DataFrame, as_of: dt.date) -> Upse
     """Insert new addresses under new ids; a known address becomes head office again.
 
     Ids continue after the highest one. Every row of the batch draws a number,
-    so known addresses leave gaps, as an auto-increment column does.
+    so known addresses leave gaps, as they do in an auto-increment column.
     """
     keyed = latest_per_key(rows.filter(has_key(["md5_key"])), ["md5_key"])
     last_id = target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()

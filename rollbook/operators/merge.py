@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 IN_TARGET = "__in_target"
 IN_BATCH = "__in_batch"
+BROADCAST_CHARACTERS = 200_000_000
 
 
 class Upserted(NamedTuple):
@@ -31,13 +32,22 @@ def latest_per_key(
     part of the batch reaches the shuffle as one row per task. Comparing whole
     rows keeps the choice the same on every run.
     """
-    rest = [name for name in batch.columns if name not in keys and name not in order]
-    row = F.struct(*order, *rest)
-    return (
-        batch.groupBy(*keys)
-        .agg(F.max(row).alias("row"))
-        .select(*[name if name in keys else F.col("row")[name].alias(name) for name in batch.columns])
-    )
+    names = batch.columns
+    rest = [name for name in names if name not in keys and name not in order]
+    latest = batch.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("row"))
+    return latest.selectExpr(*[f"`{name}`" if name in keys else f"row.`{name}`" for name in names])
+
+
+def fits_broadcast(
+    frame: DataFrame, rows: int, characters: int = BROADCAST_CHARACTERS
+) -> bool:
+    """Whether the frame is small enough to be sent to every executor.
+
+    Both figures are sums, added up within the tasks; no rows move.
+    """
+    text = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in frame.columns])
+    size = frame.agg(F.count("*").alias("rows"), F.sum(F.length(text)).alias("characters")).first()
+    return size["rows"] <= rows and (size["characters"] or 0) <= characters
 
 
 def upsert(
@@ -65,9 +75,10 @@ def upsert(
     aggregation that otherwise makes it so.
 
     The join shuffles both sides on the key. A target that is bucketed by the
-    key is not shuffled. With ``broadcast_rows``, the batch is counted up to
-    that bound; within it, the batch is broadcast and the target stays where it
-    is, beyond it the shuffle join runs.
+    key is not shuffled. With ``broadcast_rows``, rows and characters of the
+    batch are counted; within the bounds, the batch is broadcast and the target
+    stays where it is, beyond them the shuffle join runs. Persist the batch
+    then, as it is read several times.
     """
     on_insert, on_match = dict(on_insert or {}), dict(on_match or {})
     rejects = batch.filter(~has_key(keys))
@@ -76,37 +87,31 @@ def upsert(
         keyed = latest_per_key(keyed, keys, order)
 
     # The batch side of the join carries finished values under names of its own.
-    values = [name for name in target.columns if name not in keys]
-    inserted = {
-        name: on_insert.get(name, F.col(name) if name in batch.columns else F.lit(None))
-        for name in values
-    }
-    types = {field.name: field.dataType for field in target.schema}
-    incoming = keyed.select(
-        *keys,
-        F.lit(True).alias(IN_BATCH),
-        *[value.cast(types[name]).alias(f"__new_{name}") for name, value in inserted.items()],
-        *[value.cast(types[name]).alias(f"__set_{name}") for name, value in on_match.items()],
-    )
+    given = set(batch.columns)
+    types = {field.name: field.dataType.simpleString() for field in target.schema}
+    new = [
+        on_insert[name].cast(kind).alias(f"__new_{name}")
+        if name in on_insert
+        else F.expr(f"cast({f'`{name}`' if name in given else 'null'} as {kind}) as `__new_{name}`")
+        for name, kind in types.items()
+        if name not in keys
+    ]
+    set_ = [value.cast(types[name]).alias(f"__set_{name}") for name, value in on_match.items()]
+    incoming = keyed.select(*keys, F.lit(True).alias(IN_BATCH), *new, *set_)
     matched = {name: f"__new_{name}" for name in overwrite} | {
         name: f"__set_{name}" for name in on_match
     }
 
-    if broadcast_rows and incoming.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if broadcast_rows and fits_broadcast(keyed, broadcast_rows):
         return Upserted(_merge_small(target, incoming, keys, matched), rejects)
 
     current = target.filter(has_key(keys)).withColumn(IN_TARGET, F.lit(True))
-    both = current.join(incoming, list(keys), "full_outer")
-    is_new = F.col(IN_TARGET).isNull()
-    is_hit = F.col(IN_TARGET).isNotNull() & F.col(IN_BATCH).isNotNull()
-    merged = both.select(
+    merged = current.join(incoming, list(keys), "full_outer").selectExpr(
         *[
-            F.col(name)
+            f"`{name}`"
             if name in keys
-            else F.when(is_new, F.col(f"__new_{name}"))
-            .when(is_hit, F.col(matched.get(name, name)))
-            .otherwise(F.col(name))
-            .alias(name)
+            else f"case when {IN_TARGET} is null then `__new_{name}`"
+            f" when {IN_BATCH} then `{matched.get(name, name)}` else `{name}` end as `{name}`"
             for name in target.columns
         ]
     )
@@ -121,11 +126,11 @@ def _merge_small(
 ) -> DataFrame:
     """The same merge for a batch whose row count has been checked."""
     hits = F.broadcast(incoming.select(*keys, IN_BATCH, *matched.values()))
-    updated = target.join(hits, list(keys), "left").select(
+    updated = target.join(hits, list(keys), "left").selectExpr(
         *[
-            F.when(F.col(IN_BATCH), F.col(matched[name])).otherwise(F.col(name)).alias(name)
+            f"case when {IN_BATCH} then `{matched[name]}` else `{name}` end as `{name}`"
             if name in matched
-            else F.col(name)
+            else f"`{name}`"
             for name in target.columns
         ]
     )
@@ -135,7 +140,7 @@ def _merge_small(
         .join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
         .distinct()
     )
-    new = incoming.join(F.broadcast(known), list(keys), "left_anti").select(
-        *[F.col(name if name in keys else f"__new_{name}").alias(name) for name in target.columns]
+    new = incoming.join(F.broadcast(known), list(keys), "left_anti").selectExpr(
+        *[f"`{name}`" if name in keys else f"`__new_{name}` as `{name}`" for name in target.columns]
     )
     return updated.unionByName(new)

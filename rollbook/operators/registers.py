@@ -37,6 +37,7 @@ def upsert_register(
     as_of: dt.datetime | dt.date,
     source: str | Column = "",
     order: tuple[str, ...] = (),
+    unique: bool = False,
     broadcast_rows: int = 0,
 ) -> Upserted:
     """Insert new companies, overwrite known ones with all that the batch says.
@@ -59,6 +60,7 @@ def upsert_register(
         overwrite=[name for name in target.columns if name not in kept] + ["last_modified_date"],
         on_match={"last_modified_by": F.concat(F.lit("register update "), source)},
         order=order,
+        unique=unique,
         broadcast_rows=broadcast_rows,
     )
 

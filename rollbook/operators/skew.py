@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 1_000
 RANK_BLOCK = 1_000_000
-KEY_PREFIX = 4
+BLOCK_DIGITS = 4
 
 
 def lookup(
@@ -68,22 +68,22 @@ def descending_rank(
 
 
 def number_by_hash(rows: DataFrame, key: str, start: Column, name: str) -> DataFrame:
-    """Dense numbers ``start + 1, start + 2, …`` in the order of a unique hex hash.
+    """Unique numbers above ``start`` for rows with a unique hex hash ``key``.
 
-    The first digits of a hash are spread evenly, so they cut the rows into
-    65,536 blocks of like size, numbered side by side. Only the block sizes go
-    through one task: 65,536 rows whatever the data. The numbers depend on the
-    keys alone; a task that runs again gives the same ones.
+    The first digits of a hash are spread evenly and cut the rows into 65,536
+    blocks of like size, numbered side by side and interleaved: row r of block b
+    gets ``start + 1 + r * 65536 + b``. No task sees more than its blocks and
+    nothing is counted beforehand. The numbers depend on the keys alone, so a
+    task that runs again gives the same ones. They leave gaps where blocks
+    differ in size.
     """
-    cut = rows.withColumn("__block", F.substring(key, 1, KEY_PREFIX))
-    sizes = cut.groupBy("__block").agg(F.count("*").alias("__n"))
-    lower = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__block", F.coalesce(F.sum("__n").over(lower), F.lit(0)).alias("__before")
-    )
+    block = F.substring(key, 1, BLOCK_DIGITS)
     inside = F.row_number().over(Window.partitionBy("__block").orderBy(key))
+    number = (F.col("__inside") - 1).cast("bigint") * 16**BLOCK_DIGITS + F.conv(
+        F.col("__block"), 16, 10
+    ).cast("bigint")
     return (
-        cut.withColumn("__inside", inside)
-        .join(F.broadcast(offsets), "__block")
-        .select(*rows.columns, (start + F.col("__before") + F.col("__inside")).alias(name))
+        rows.withColumn("__block", block)
+        .withColumn("__inside", inside)
+        .select(*rows.columns, (start + 1 + number).alias(name))
     )

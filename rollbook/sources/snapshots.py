@@ -11,8 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 LOG_SCHEMA = "name string, version bigint, run string"
 
@@ -35,6 +34,8 @@ class Snapshots:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = dict(buckets or {})
+        self._log = f"{self.root}/_log"
+        self._entries: list[Row] | None = None
 
     def _folder(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/version={version:08d}"
@@ -42,20 +43,22 @@ class Snapshots:
     def _table(self, name: str, version: int) -> str:
         return f"{name}_{version:08d}"
 
-    def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+    @property
+    def entries(self) -> list[Row]:
+        """The log, one row per finished version; read once per object."""
+        if self._entries is None:
+            try:
+                self._entries = self.spark.read.schema(LOG_SCHEMA).parquet(self._log).collect()
+            except AnalysisException:
+                self._entries = []
+        return self._entries
 
     def version(self, name: str) -> int:
         """The newest finished version; -1 if there is none."""
-        newest = self.log().filter(F.col("name") == name).agg(F.max("version")).first()[0]
-        return -1 if newest is None else newest
+        return max((entry.version for entry in self.entries if entry.name == name), default=-1)
 
     def finished(self, name: str, run: str) -> bool:
-        done = (F.col("name") == name) & (F.col("run") == run)
-        return not self.log().filter(done).isEmpty()
+        return any(entry.name == name and entry.run == run for entry in self.entries)
 
     def read(self, name: str, empty: DataFrame | None = None) -> DataFrame:
         """The newest version, or ``empty`` if the table was never written."""
@@ -85,6 +88,7 @@ class Snapshots:
             ).saveAsTable(self._table(name, version))
         else:
             writer.parquet(self._folder(name, version))
-        entry = self.spark.createDataFrame([(name, version, run)], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
+        entry = Row(name=name, version=version, run=run)
+        self.spark.createDataFrame([entry], LOG_SCHEMA).write.mode("append").parquet(self._log)
+        self.entries.append(entry)
         return self.read(name)

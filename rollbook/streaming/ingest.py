@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.operators.registers import empty_register, upsert_register
+from rollbook.operators.merge import latest_per_key
+from rollbook.operators.registers import KEY, empty_register, upsert_register
 from rollbook.sources.register import READ_OPTIONS
 from rollbook.sources.schema import FILE_SCHEMA, REGISTER_NAMES
 from rollbook.sources.snapshots import Snapshots
@@ -73,19 +74,20 @@ def ingest_fragments(
         name = f"{run}/{number}"
         if store.finished(REGISTER, name):
             return
-        batch.persist()
+        keyed = batch.filter(F.col(KEY).isNotNull())
+        latest = latest_per_key(keyed, [KEY], ("file_time", "file_name")).persist()
         try:
             merged = upsert_register(
                 store.read(REGISTER, empty_register(spark)),
-                batch,
+                latest,
                 as_of,
                 source=F.col("file_name"),
-                order=("file_time", "file_name"),
+                unique=True,
                 broadcast_rows=BROADCAST_ROWS,
             )
             store.write(REGISTER, merged.next, name)
         finally:
-            batch.unpersist()
+            latest.unpersist()
 
     query = (
         stream_fragments(spark, folder, files_per_batch, clean_source, archive, multi_line)
