@@ -222,6 +222,11 @@ def touched_today(spark, views):
 # --- codes ---
 
 
+def _counts(spark, views) -> DataFrame:
+    """The monthly fact as the stored table that the reports read."""
+    return files.land(views("sic_counts"), scratch_folder(spark, "counts"))
+
+
 @check
 def unpivot_codes(spark, views):
     return codes.unpivot_codes(views("company_file"), ["company_number"])
@@ -264,12 +269,12 @@ def rejected_codes(spark, views):
 
 @check
 def category_totals(spark, views):
-    return codes.category_totals(views("sic_counts"))
+    return codes.category_totals(_counts(spark, views))
 
 
 @check
 def insert_new_totals(spark, views):
-    totals = codes.category_totals(views("sic_counts"))
+    totals = codes.category_totals(_counts(spark, views))
     known = totals.filter(F.col("file_date") < F.lit(TOTALS_TO))
     return codes.insert_new_totals(known, totals).next
 
@@ -280,33 +285,33 @@ def _rounded(report: DataFrame) -> DataFrame:
 
 @check
 def code_month_over_month(spark, views):
-    return _rounded(codes.code_month_over_month(views("sic_counts"), AS_OF))
+    return _rounded(codes.code_month_over_month(_counts(spark, views), AS_OF))
 
 
 @check
 def aggregate_month_over_month(spark, views):
-    totals = codes.category_totals(views("sic_counts"))
+    totals = codes.category_totals(_counts(spark, views))
     return _rounded(codes.category_month_over_month(totals, AS_OF))
 
 
 @check
 def backfill_codes(spark, views):
-    return _rounded(codes.backfill_codes(views("sic_counts")))
+    return _rounded(codes.backfill_codes(_counts(spark, views)))
 
 
 @check
 def backfill_categories(spark, views):
-    return _rounded(codes.backfill_categories(codes.category_totals(views("sic_counts"))))
+    return _rounded(codes.backfill_categories(codes.category_totals(_counts(spark, views))))
 
 
 @check
 def backfill_codes_all_months(spark, views):
-    return _rounded(codes.backfill_codes(views("sic_counts"), codes.ALL_MONTHS))
+    return _rounded(codes.backfill_codes(_counts(spark, views), codes.ALL_MONTHS))
 
 
 @check
 def fill_descriptions(spark, views):
-    totals = codes.category_totals(views("sic_counts"))
+    totals = codes.category_totals(_counts(spark, views))
     report = codes.category_month_over_month(totals, AS_OF)
     bare = report.withColumn("category_description", F.lit(None).cast("string"))
     return _rounded(codes.fill_descriptions(bare, views("sic_code_categories")))
@@ -326,7 +331,7 @@ def _report_before(current: DataFrame, earlier: DataFrame) -> DataFrame:
 
 @check
 def upsert_code_analytics(spark, views):
-    counts = views("sic_counts")
+    counts = _counts(spark, views)
     report = codes.code_month_over_month(counts, AS_OF)
     earlier = codes.code_month_over_month(counts, c.first_of_month(AS_OF, -1))
     return _rounded(
@@ -336,7 +341,7 @@ def upsert_code_analytics(spark, views):
 
 @check
 def upsert_category_analytics(spark, views):
-    totals = codes.category_totals(views("sic_counts"))
+    totals = codes.category_totals(_counts(spark, views))
     report = codes.category_month_over_month(totals, AS_OF)
     earlier = codes.category_month_over_month(totals, c.first_of_month(AS_OF, -1))
     target = _report_before(report, earlier).withColumn(
@@ -533,7 +538,7 @@ def _empty_reports(counts: DataFrame, totals: DataFrame) -> tuple[DataFrame, Dat
 
 @check
 def refresh_codes(spark, views):
-    counts = views("sic_counts")
+    counts = _counts(spark, views)
     totals = codes.category_totals(counts)
     refreshed = jobs.refresh_codes(
         views("sic_code_prev"),
@@ -550,7 +555,7 @@ def refresh_codes(spark, views):
 @check
 def refresh_all(spark, views):
     store = Snapshots(spark, scratch_folder(spark, "tables"))
-    counts = views("sic_counts")
+    counts = _counts(spark, views)
     totals = codes.category_totals(counts)
     by_code, by_category = _empty_reports(counts, totals)
     seed = {

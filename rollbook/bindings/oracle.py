@@ -162,7 +162,7 @@ from (select regexp_replace(text,'[^0-9]+','','g') sic_code, cast(date_trunc('mo
     "code_candidates": "select code, organisation_id, company_number, md5 from candidates",
     "potential_code_entries": f"select {COUNT_POTENTIAL} potential_sic_code_entries",
     "upsert_codes": "select code, organisation_id, company_number, md5, date_last_modified from codes_after",
-    "rejected_codes": """select cast(null as varchar) code, organisation_id, company_number, cast(null as varchar) md5, @AS_OF date_last_modified
+    "rejected_codes": """select distinct cast(null as varchar) code, organisation_id, company_number, cast(null as varchar) md5, @AS_OF date_last_modified
 from code_texts where text is not null and @DIGITS(text) is null""",
     "category_totals": "select file_date, Category, count, md5_str from totals",
     "insert_new_totals": """select file_date, Category, count, md5_str from totals

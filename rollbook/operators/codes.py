@@ -78,14 +78,31 @@ def monthly_code_counts(
 
 
 def code_candidates(register: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row per company and non-NULL code text, shaped like the code table.
+    """One row per company and distinct code, shaped like the code table.
 
-    A text without digits gives a NULL code and a NULL key.
+    Texts without digits give one row with a NULL code and a NULL key. A code
+    that repeats within a company is dropped in its row, before anything moves;
+    where the register holds each company once, so do the candidates each key.
     """
+    texts = [F.col(name) for name in CODE_TEXTS]
+    found = [F.col(f"code_{number}") for number in range(len(texts))]
+    coded = register.select(
+        "company_number",
+        *CODE_TEXTS,
+        *[c.first_digits(text).alias(f"code_{number}") for number, text in enumerate(texts)],
+    )
+    slots = []
+    for number, text in enumerate(texts):
+        keep = text.isNotNull()
+        for other in range(number):
+            keep = keep & ~(texts[other].isNotNull() & found[number].eqNullSafe(found[other]))
+        slots.append(F.when(keep, F.struct(found[number].alias("code"))).alias(f"slot_{number}"))
+    names = [f"slot_{number}" for number in range(len(slots))]
     return (
-        unpivot_codes(register, ["company_number"])
-        .filter(F.col("text").isNotNull())
-        .select("company_number", c.first_digits(F.col("text")).alias("code"))
+        coded.select("company_number", *slots)
+        .unpivot(["company_number"], names, "slot", "pair")
+        .filter(F.col("pair").isNotNull())
+        .select("company_number", "pair.code")
         .select(
             "code",
             c.organisation_id(F.col("company_number")).alias("organisation_id"),
@@ -96,10 +113,16 @@ def code_candidates(register: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def upsert_codes(target: DataFrame, candidates: DataFrame, as_of: dt.date) -> Upserted:
+def upsert_codes(
+    target: DataFrame, candidates: DataFrame, as_of: dt.date, unique: bool = False
+) -> Upserted:
     """New (company, code) pairs are inserted, known ones get the new date."""
     return upsert(
-        target, candidates, ["md5"], on_match={"date_last_modified": F.lit(as_of)}
+        target,
+        candidates,
+        ["md5"],
+        on_match={"date_last_modified": F.lit(as_of)},
+        unique=unique,
     )
 
 

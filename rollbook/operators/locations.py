@@ -138,13 +138,17 @@ def without_parent(rows: DataFrame, organisations: DataFrame) -> DataFrame:
     return orphans.select(*rows.columns).unionByName(rows.filter(missing))
 
 
-def upsert_locations(target: DataFrame, rows: DataFrame, as_of: dt.date) -> Upserted:
+def upsert_locations(
+    target: DataFrame, rows: DataFrame, as_of: dt.date, unique: bool = False
+) -> Upserted:
     """Insert new addresses under new ids; a known address becomes head office again.
 
     Ids continue after the highest one. Every row of the batch draws a number,
     so known addresses leave gaps, as they do in an auto-increment column.
     """
-    keyed = latest_per_key(rows.filter(has_key(["md5_key"])), ["md5_key"])
+    keyed = rows.filter(has_key(["md5_key"]))
+    if not unique:
+        keyed = latest_per_key(keyed, ["md5_key"])
     last_id = target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     numbered = number_by_hash(keyed, "md5_key", last_id, "id")
     merged = upsert(

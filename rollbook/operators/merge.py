@@ -59,7 +59,7 @@ def upsert(
     on_match: Mapping[str, Column] | None = None,
     order: Sequence[str] = (),
     unique: bool = False,
-    broadcast_rows: int = 0,
+    small: bool = False,
 ) -> Upserted:
     """Merge ``batch`` into ``target`` by ``keys``.
 
@@ -75,10 +75,9 @@ def upsert(
     aggregation that otherwise makes it so.
 
     The join shuffles both sides on the key. A target that is bucketed by the
-    key is not shuffled. With ``broadcast_rows``, rows and characters of the
-    batch are counted; within the bounds, the batch is broadcast and the target
-    stays where it is, beyond them the shuffle join runs. Persist the batch
-    then, as it is read several times.
+    key is not shuffled. ``small`` states that the batch passed
+    ``fits_broadcast``: it is then broadcast and the target stays where it is.
+    Persist such a batch, as it is read several times.
     """
     on_insert, on_match = dict(on_insert or {}), dict(on_match or {})
     rejects = batch.filter(~has_key(keys))
@@ -102,7 +101,7 @@ def upsert(
         name: f"__set_{name}" for name in on_match
     }
 
-    if broadcast_rows and fits_broadcast(keyed, broadcast_rows):
+    if small:
         return Upserted(_merge_small(target, incoming, keys, matched), rejects)
 
     current = target.filter(has_key(keys)).withColumn(IN_TARGET, F.lit(True))
@@ -124,7 +123,7 @@ def _merge_small(
     keys: Sequence[str],
     matched: Mapping[str, str],
 ) -> DataFrame:
-    """The same merge for a batch whose row count has been checked."""
+    """The same merge for a batch whose size has been checked."""
     hits = F.broadcast(incoming.select(*keys, IN_BATCH, *matched.values()))
     updated = target.join(hits, list(keys), "left").selectExpr(
         *[

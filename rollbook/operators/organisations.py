@@ -21,7 +21,9 @@ def organisation_rows(register: DataFrame) -> DataFrame:
     )
 
 
-def upsert_organisation(target: DataFrame, register: DataFrame, as_of: dt.date) -> Upserted:
+def upsert_organisation(
+    target: DataFrame, register: DataFrame, as_of: dt.date, unique: bool = False
+) -> Upserted:
     """New companies are inserted; known ones only get the audit columns."""
     return upsert(
         target,
@@ -33,4 +35,5 @@ def upsert_organisation(target: DataFrame, register: DataFrame, as_of: dt.date)
         },
         overwrite=["last_modified_date"],
         on_match={"last_modified_by": F.lit("organisation update")},
+        unique=unique,
     )

@@ -38,7 +38,7 @@ def upsert_register(
     source: str | Column = "",
     order: tuple[str, ...] = (),
     unique: bool = False,
-    broadcast_rows: int = 0,
+    small: bool = False,
 ) -> Upserted:
     """Insert new companies, overwrite known ones with all that the batch says.
 
@@ -61,7 +61,7 @@ def upsert_register(
         on_match={"last_modified_by": F.concat(F.lit("register update "), source)},
         order=order,
         unique=unique,
-        broadcast_rows=broadcast_rows,
+        small=small,
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 1_000
 RANK_BLOCK = 1_000_000
+LOWEST = -(2**63) + 1
 BLOCK_DIGITS = 4
 
 
@@ -48,7 +49,7 @@ def descending_rank(
     """
     cut = rows.withColumn(
         "__group", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("-"))
-    ).withColumn("__block", F.expr(f"`{by}` div {block}"))
+    ).withColumn("__block", F.expr(f"coalesce(`{by}` div {block}, {LOWEST})"))
     higher = Window.partitionBy("__group").orderBy(F.desc("__block")).rowsBetween(
         Window.unboundedPreceding, -1
     )

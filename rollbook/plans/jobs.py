@@ -4,6 +4,9 @@ The functions that return frames are lazy chains. ``run_derived_tables`` is the
 monthly job: it writes each table as a new version and reads it back where a
 later step would otherwise compute it again, which also cuts the lineage with
 storage that outlives an executor.
+
+The jobs take a register that holds each company once, which is what the ingest
+leaves, and pass that on as ``unique`` batches.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ def refresh_locations(
     rows = locations.geo_rows(register, as_of)
     if organisation is not None:
         rows = locations.with_parent(rows, organisation)
-    merged = locations.upsert_locations(geo, rows, as_of).next
+    merged = locations.upsert_locations(geo, rows, as_of, unique=True).next
     return locations.keep_latest_head_office(merged)
 
 
@@ -65,7 +68,7 @@ def refresh_codes(
     by_code = codes.code_month_over_month(counts, as_of)
     by_category = codes.category_month_over_month(totals, as_of)
     return Codes(
-        codes.upsert_codes(code_table, candidates, as_of).next,
+        codes.upsert_codes(code_table, candidates, as_of, unique=True).next,
         codes.upsert_code_analytics(code_analytics, by_code, as_of).next,
         codes.fill_descriptions(
             codes.upsert_category_analytics(category_analytics, by_category, as_of).next,
@@ -89,7 +92,9 @@ def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
 
     register = store.read("register")
     if not store.finished("organisation", run):
-        merged = organisations.upsert_organisation(store.read("organisation"), register, as_of)
+        merged = organisations.upsert_organisation(
+            store.read("organisation"), register, as_of, unique=True
+        )
         store.write("organisation", merged.next, run)
 
     tables = ["sic_code", "code_analytics", "category_analytics"]

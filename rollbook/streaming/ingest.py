@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.operators.merge import latest_per_key
+from rollbook.operators.merge import fits_broadcast, latest_per_key
 from rollbook.operators.registers import KEY, empty_register, upsert_register
 from rollbook.sources.register import READ_OPTIONS
 from rollbook.sources.schema import FILE_SCHEMA, REGISTER_NAMES
@@ -74,19 +74,21 @@ def ingest_fragments(
         name = f"{run}/{number}"
         if store.finished(REGISTER, name):
             return
+        small = fits_broadcast(batch, BROADCAST_ROWS)
         keyed = batch.filter(F.col(KEY).isNotNull())
-        latest = latest_per_key(keyed, [KEY], ("file_time", "file_name")).persist()
-        try:
-            merged = upsert_register(
-                store.read(REGISTER, empty_register(spark)),
-                latest,
-                as_of,
-                source=F.col("file_name"),
-                unique=True,
-                broadcast_rows=BROADCAST_ROWS,
-            )
-            store.write(REGISTER, merged.next, name)
-        finally:
+        latest = latest_per_key(keyed, [KEY], ("file_time", "file_name"))
+        if small:
+            latest.persist()
+        merged = upsert_register(
+            store.read(REGISTER, empty_register(spark)),
+            latest,
+            as_of,
+            source=F.col("file_name"),
+            unique=True,
+            small=small,
+        )
+        store.write(REGISTER, merged.next, name)
+        if small:
             latest.unpersist()
 
     query = (

@@ -52,7 +52,7 @@ def test_candidates_and_rejects(spark, register):
         [], "code string, organisation_id string, company_number string, md5 string, date_last_modified date"
     )
     candidates = codes.code_candidates(register, AS_OF)
-    assert candidates.count() == 8
+    assert candidates.count() == 7
     merged = codes.upsert_codes(empty, candidates, AS_OF)
     found = {(row.company_number, row.code) for row in merged.next.collect()}
     assert found == {("1", "62020"), ("2", "62020"), ("2", "01110"), ("3", "62020"), ("4", "62020"), ("5", "62020")}

@@ -67,7 +67,7 @@ def test_files_one_by_one_or_at_once(spark, tmp_path, folder):
 
 
 def test_shuffled_merge_gives_the_same(spark, tmp_path, folder, monkeypatch):
-    monkeypatch.setattr(ingest, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ingest, "BROADCAST_ROWS", -1)
     _, register = run(spark, tmp_path, folder, "shuffled", files_per_batch=1)
     assert names(register) == FINAL
 

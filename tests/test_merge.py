@@ -48,7 +48,7 @@ EXPECTED = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 100}, {"broadcast_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"small": True}])
 def test_upsert(target, batch, options):
     merged = merge(target, batch, **options)
     assert rows(merged.next) == sorted(EXPECTED, key=str)
@@ -63,7 +63,7 @@ def test_small_batch_leaves_the_target_unshuffled(spark, target, batch):
     assert "SortMergeJoin" in plan(merge(target, batch).next) or "ShuffledHashJoin" in plan(
         merge(target, batch).next
     )
-    small = plan(merge(target, batch, broadcast_rows=100).next)
+    small = plan(merge(target, batch, small=True).next)
     assert "BroadcastHashJoin" in small
     assert "SortMergeJoin" not in small
 

@@ -10,7 +10,7 @@ from rollbook.functions import columns as c
 from rollbook.operators import codes, locations
 
 SF_DIR = "/root/testdata/sf0.001"
-# These run jobs of their own before they return a scan of the outcome.
+# These run jobs of their own and return a scan of the outcome.
 EAGER = {
     "ingest_fragments", "refresh_all", "scan_register", "scan_sic_columns", "export_fragments",
     "file_row_counts", "landing_overwrite",

@@ -41,6 +41,7 @@ def test_rank_over_blocks_is_the_rank(spark):
         "id * 3 as id",
         "case when id % 3 = 0 then 'hot' when id % 11 = 0 then null else concat('g', id % 20) end as g",
     )
+    data = data.union(spark.sql("select cast(null as bigint) id, 'hot' g"))
     expected = data.withColumn(
         "r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("id")))
     )
