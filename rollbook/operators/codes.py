@@ -126,18 +126,19 @@ def upsert_codes(
     )
 
 
-def potential_code_entries(register: DataFrame) -> DataFrame:
+def potential_code_entries(register: DataFrame, unique: bool = False) -> DataFrame:
     """Number of distinct (company, code before the dash) pairs; NULL is one code.
 
-    The other columns of the pairs follow from these two, so they are left out
-    of the distinct.
+    Codes are made distinct within their row first. Where the register holds
+    each company once, as ``unique`` states, their number is all there is to add
+    up and nothing is shuffled.
     """
-    return (
-        unpivot_codes(register, ["company_number"])
-        .select("company_number", c.before_dash(F.col("text")).alias("code"))
-        .distinct()
-        .agg(F.count("*").alias("potential_sic_code_entries"))
-    )
+    in_row = F.array_distinct(F.array(*[c.before_dash(F.col(text)) for text in CODE_TEXTS]))
+    name = "potential_sic_code_entries"
+    if unique:
+        return register.agg(F.coalesce(F.sum(F.size(in_row)), F.lit(0)).alias(name))
+    pairs = register.select("company_number", F.explode(in_row).alias("code"))
+    return pairs.distinct().agg(F.count("*").alias(name))
 
 
 # --- category totals ---

@@ -34,11 +34,14 @@ def changed_rows(table: DataFrame, column: str, as_of: dt.date) -> DataFrame:
 
 
 def count_potential_codes(
-    rowcounts: DataFrame, register: DataFrame, as_of: dt.date, all_rows: bool = False
+    rowcounts: DataFrame,
+    register: DataFrame,
+    as_of: dt.date,
+    all_rows: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
-    return _set_count(
-        rowcounts, "potential_sic_code_entries", potential_code_entries(register), as_of, all_rows
-    )
+    entries = potential_code_entries(register, unique)
+    return _set_count(rowcounts, "potential_sic_code_entries", entries, as_of, all_rows)
 
 
 def count_changed_codes(rowcounts: DataFrame, codes: DataFrame, as_of: dt.date) -> DataFrame:

@@ -95,7 +95,7 @@ def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
         merged = organisations.upsert_organisation(
             store.read("organisation"), register, as_of, unique=True
         )
-        store.write("organisation", merged.next, run)
+        store.write("organisation", merged.next, run, clustered=True)
 
     tables = ["sic_code", "code_analytics", "category_analytics"]
     if not all(store.finished(name, run) for name in tables):
@@ -108,7 +108,7 @@ def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
             as_of,
         )
         for name, table in zip(tables, refreshed):
-            store.write(name, table, run)
+            store.write(name, table, run, clustered=name == "sic_code")
 
     if not store.finished("register", run):
         refreshed = refresh_register_addresses(register, store.read("post_code_mappings"))

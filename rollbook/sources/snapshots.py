@@ -23,6 +23,7 @@ class Snapshots:
     saved as catalog tables bucketed and sorted by the key, and an upsert by
     that key does not shuffle them. Choose at least as many buckets as
     ``spark.sql.shuffle.partitions``, or Spark shuffles the table after all.
+    Without a lasting catalog a later session reads the same files unbucketed.
     """
 
     def __init__(
@@ -71,23 +72,32 @@ class Snapshots:
             return self.spark.table(self._table(name, version))
         return self.spark.read.parquet(self._folder(name, version))
 
-    def write(self, name: str, table: DataFrame, run: str) -> DataFrame:
+    def write(
+        self, name: str, table: DataFrame, run: str, clustered: bool = False
+    ) -> DataFrame:
         """Write ``table`` as the next version and return it as read back.
 
         ``run`` names the load. A run that has finished before is not written
         again, so a replayed load changes nothing.
+
+        A bucketed table is brought together by its key first, or each task
+        would write a file per bucket. ``clustered`` states that the table is
+        an upsert into the bucketed version before: its tasks hold one bucket
+        each already.
         """
         if self.finished(name, run):
             return self.read(name)
         version = self.version(name) + 1
-        writer = table.write.mode("overwrite")
         if name in self.buckets:
             count, key = self.buckets[name]
+            if not clustered or version == 0:
+                table = table.repartition(count, key)
+            writer = table.write.mode("overwrite")
             writer.bucketBy(count, key).sortBy(key).option(
                 "path", self._folder(name, version)
             ).saveAsTable(self._table(name, version))
         else:
-            writer.parquet(self._folder(name, version))
+            table.write.mode("overwrite").parquet(self._folder(name, version))
         entry = Row(name=name, version=version, run=run)
         self.spark.createDataFrame([entry], LOG_SCHEMA).write.mode("append").parquet(self._log)
         self.entries.append(entry)

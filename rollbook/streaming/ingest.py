@@ -87,7 +87,7 @@ def ingest_fragments(
             unique=True,
             small=small,
         )
-        store.write(REGISTER, merged.next, name)
+        store.write(REGISTER, merged.next, name, clustered=not small)
         if small:
             latest.unpersist()
 

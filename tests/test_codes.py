@@ -61,6 +61,14 @@ def test_candidates_and_rejects(spark, register):
 
 def test_potential_entries_count_null_once_per_company(register):
     assert codes.potential_code_entries(register).first()[0] == 12
+    assert codes.potential_code_entries(register, unique=True).first()[0] == 12
+    assert codes.potential_code_entries(register.union(register)).first()[0] == 12
+    assert codes.potential_code_entries(register.limit(0), unique=True).first()[0] == 0
+
+
+def test_counting_a_unique_register_shuffles_one_row_per_task(register):
+    plan = codes.potential_code_entries(register, unique=True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
 
 
 def counts(spark, *records):

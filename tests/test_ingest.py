@@ -139,7 +139,10 @@ def test_bucketed_register_is_not_shuffled(spark, tmp_path):
         merged = registers.upsert_register(target, rows.withColumn("company_name", F.lit("y")), AS_OF).next
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1
-        after = store.write("bucketed_register", merged, "2")
+        after = store.write("bucketed_register", merged, "2", clustered=True)
+        for version in (0, 1):
+            files = list((tmp_path / "b" / "bucketed_register" / f"version={version:08d}").glob("*.parquet"))
+            assert len(files) <= 8
         assert after.filter("company_name = 'y'").count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
