@@ -493,10 +493,9 @@ def rowcount_diffs(spark, views):
         views("sic_code_prev"), codes.code_candidates(cf, AS_OF), AS_OF
     ).next
     organisation = organisations.upsert_organisation(views("organisation_prev"), cf, AS_OF).next
-    counted = reconcile.count_changed_codes(views("rowcounts"), code_table, AS_OF)
-    counted = reconcile.count_changed_locations(counted, _locations_after_upsert(views), AS_OF)
-    counted = reconcile.count_changed_organisations(counted, organisation, AS_OF)
-    return reconcile.add_differences(counted, AS_OF)
+    return jobs.reconcile_month(
+        views("rowcounts"), cf, code_table, _locations_after_upsert(views), organisation, AS_OF
+    )
 
 
 @check
@@ -522,7 +521,32 @@ def refresh_addresses(spark, views):
 @check
 def refresh_locations(spark, views):
     register = jobs.refresh_register_addresses(views("company_file"), views("post_code_mappings"))
-    return jobs.refresh_locations(views("geo_prev"), register, AS_OF).select(*GEO_COLUMNS)
+    return jobs.refresh_locations(views("geo_prev"), register, AS_OF).next.select(*GEO_COLUMNS)
+
+
+@check
+def refresh_parented_locations(spark, views):
+    register = jobs.refresh_register_addresses(views("company_file"), views("post_code_mappings"))
+    merged = jobs.refresh_locations(views("geo_prev"), register, AS_OF, views("organisation_prev"))
+    return merged.next.select(*GEO_COLUMNS)
+
+
+@check
+def load_month(spark, views):
+    counts = _counts(spark, views)
+    totals = codes.category_totals(counts).filter(F.col("file_date") < F.lit(TOTALS_TO))
+    category = F.substring("sic_code", 1, 2)
+    loaded, _ = jobs.load_month(counts, totals, views("company_file"), TOUCHED_DAY, category)
+    return loaded
+
+
+@check
+def load_month_totals(spark, views):
+    counts = _counts(spark, views)
+    totals = codes.category_totals(counts).filter(F.col("file_date") < F.lit(TOTALS_TO))
+    category = F.substring("sic_code", 1, 2)
+    _, loaded = jobs.load_month(counts, totals, views("company_file"), TOUCHED_DAY, category)
+    return loaded
 
 
 def _empty_reports(counts: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -549,7 +573,7 @@ def refresh_codes(spark, views):
         views("sic_code_categories"),
         AS_OF,
     )
-    return refreshed.codes
+    return refreshed.sic_code
 
 
 @check

@@ -55,6 +55,15 @@ select coalesce(p.id,b.organisation_id) id, coalesce(p.company_number,b.company_
   case when p.id is null then 'organisation insert' when b.organisation_id is not null then 'organisation update' else p.last_modified_by end last_modified_by,
   p.country
 from organisation_prev p full join company_file b on p.id=b.organisation_id""",
+    "month_loaded": """
+select coalesce(b.sic_code,p.sic_code) sic_code,
+  case when b.sic_code is null then p.sic_code_category else b.sic_code_category end sic_code_category,
+  coalesce(b.file_date,p.file_date) file_date, coalesce(b.counts,p.counts) counts
+from sic_counts p full join (
+  select regexp_replace(text,'[^0-9]+','','g') sic_code, substr(regexp_replace(text,'[^0-9]+','','g'),1,2) sic_code_category,
+    date '2001-07-01' file_date, count(*) counts
+  from code_texts where company_status in ('Active','Active - Proposal to Strike Off') and text is not null group by 1, 2) b
+on p.sic_code=b.sic_code and p.file_date=b.file_date""",
     "first_county": "select Postcode, min(County) new_county from post_code_mappings where County is not null group by Postcode",
     "repaired": """
 select company_number, organisation_id, coalesce(reg_address_postcode,
@@ -74,7 +83,7 @@ select organisation_id, coalesce(reg_address_postcode,'') post_code, md5(organis
 from filled""",
 }
 
-# The location upsert occurs with two batches.
+# The location upsert occurs with three batches.
 GEO_AFTER = """
 select coalesce(p.id, (select max(id) from geo_prev)+1+b.number) id,
   coalesce(p.organisation_id,b.organisation_id) organisation_id, coalesce(p.post_code,b.post_code) post_code, md5_key,
@@ -85,12 +94,15 @@ select coalesce(p.id, (select max(id) from geo_prev)+1+b.number) id,
 from geo_prev p full join (select *, (row_number() over (partition by substr(md5_key,1,4) order by md5_key)-1)*65536
   +cast('0x'||substr(md5_key,1,4) as bigint) number from @BATCH) b using (md5_key)"""
 SHARED["geo_after"] = GEO_AFTER.replace("@BATCH", "geo_batch")
+SHARED["parented_batch"] = "select * from refreshed_batch where organisation_id in (select id from organisation_prev)"
+SHARED["parented_geo_after"] = GEO_AFTER.replace("@BATCH", "parented_batch")
 SHARED["refreshed_geo_after"] = GEO_AFTER.replace("@BATCH", "refreshed_batch")
 
 KEEP_LATEST = """
 select * exclude (id_rank) from (select *, rank() over (partition by organisation_id, address_type='HEAD_OFFICE' and country='UK' order by id desc) id_rank from @GEO)
 where not (address_type='HEAD_OFFICE' and country='UK') or id_rank=1"""
 SHARED["geo_kept"] = KEEP_LATEST.replace("@GEO", "geo_after")
+SHARED["parented_geo_kept"] = KEEP_LATEST.replace("@GEO", "parented_geo_after")
 SHARED["refreshed_geo_kept"] = KEEP_LATEST.replace("@GEO", "refreshed_geo_after")
 
 FILE_COLUMNS = """company_number, company_name, company_status, nullif(IncorporationDate,'') IncorporationDate,
@@ -222,7 +234,8 @@ from geo_after where address_type='HEAD_OFFICE' and country='UK'""",
     "rowcount_organisations": f"select *, case when {HERE} then {COUNT_ORGANISATIONS} end rows_changed_in_org from rowcounts",
     "rowcount_diffs": f"""select *, file_rowcount-rows_changed_in_geolocation geolocation_diff,
   file_rowcount-rows_changed_in_org organisation_diff, file_rowcount-rows_changed_in_siccode sic_code_diff
-from (select *, case when {HERE} then {COUNT_CODES} end rows_changed_in_siccode,
+from (select *, case when {HERE} then {COUNT_POTENTIAL} end potential_sic_code_entries,
+  case when {HERE} then {COUNT_CODES} end rows_changed_in_siccode,
   case when {HERE} then {COUNT_LOCATIONS} end rows_changed_in_geolocation,
   case when {HERE} then {COUNT_ORGANISATIONS} end rows_changed_in_org from rowcounts)""",
     "section_gate": "select * from filetracker where section3 is null and section2 is not null",
@@ -231,6 +244,11 @@ from filetracker""",
     "refresh_addresses": """select company_number, coalesce(reg_address_postcode,'') reg_address_postcode, reg_address_county,
   md5(organisation_id||coalesce(reg_address_postcode,'')) md5_key from filled""",
     "refresh_locations": f"select {GEO_COLUMNS} from refreshed_geo_kept",
+    "refresh_parented_locations": f"select {GEO_COLUMNS} from parented_geo_kept",
+    "load_month": "select sic_code, sic_code_category, file_date, counts from month_loaded",
+    "load_month_totals": """select file_date, Category, count, md5_str from totals where file_date < date '2001-01-01'
+union all select file_date, sic_code_category, cast(sum(counts) as bigint), md5(cast(file_date as varchar)||sic_code_category)
+from month_loaded where sic_code_category is not null and file_date >= date '2001-01-01' group by file_date, sic_code_category""",
     "refresh_codes": "select code, organisation_id, company_number, md5, date_last_modified from codes_after",
     "refresh_all": """select 'register' table_name, count(*) row_count from company_file
 union all select 'organisation', count(*) from organisation_after

@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 IN_TARGET = "__in_target"
 IN_BATCH = "__in_batch"
+BROADCAST_ROWS = 100_000
 BROADCAST_CHARACTERS = 200_000_000
 
 
@@ -38,16 +39,24 @@ def latest_per_key(
     return latest.selectExpr(*[f"`{name}`" if name in keys else f"row.`{name}`" for name in names])
 
 
-def fits_broadcast(
-    frame: DataFrame, rows: int, characters: int = BROADCAST_CHARACTERS
-) -> bool:
-    """Whether the frame is small enough to be sent to every executor.
+def measure(batch: DataFrame, keys: Sequence[str]) -> Row:
+    """Rows, characters and rows without a key, in one pass.
 
-    Both figures are sums, added up within the tasks; no rows move.
+    All three are sums, added up within the tasks; no rows move.
     """
-    text = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in frame.columns])
-    size = frame.agg(F.count("*").alias("rows"), F.sum(F.length(text)).alias("characters")).first()
-    return size["rows"] <= rows and (size["characters"] or 0) <= characters
+    text = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in batch.columns])
+    return batch.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("characters"),
+        F.count_if(~has_key(keys)).alias("keyless"),
+    ).first()
+
+
+def fits_broadcast(
+    size: Row, rows: int = BROADCAST_ROWS, characters: int = BROADCAST_CHARACTERS
+) -> bool:
+    """Whether a measured batch is small enough to be sent to every executor."""
+    return size.rows <= rows and size.characters <= characters
 
 
 def upsert(
@@ -75,7 +84,7 @@ def upsert(
     aggregation that otherwise makes it so.
 
     The join shuffles both sides on the key. A target that is bucketed by the
-    key is not shuffled. ``small`` states that the batch passed
+    key is not shuffled. ``small`` states that the batch was measured and
     ``fits_broadcast``: it is then broadcast and the target stays where it is.
     Persist such a batch, as it is read several times.
     """

@@ -14,16 +14,19 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from rollbook.operators import codes, control, locations, organisations
+from rollbook.operators import codes, control, locations, organisations, reconcile
+from rollbook.operators.merge import Upserted, upsert
 from rollbook.sources.snapshots import Snapshots
 
 
 class Codes(NamedTuple):
-    codes: DataFrame
+    sic_code: DataFrame
     code_analytics: DataFrame
     category_analytics: DataFrame
+    sic_code_rejects: DataFrame
 
 
 def refresh_register_addresses(register: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -41,16 +44,20 @@ def refresh_locations(
     register: DataFrame,
     as_of: dt.date,
     organisation: DataFrame | None = None,
-) -> DataFrame:
+) -> Upserted:
     """The next location table from a register whose addresses are refreshed.
 
-    With ``organisation``, rows without a parent there are left out.
+    With ``organisation``, rows without a parent there are rejects, like rows
+    without a key.
     """
     rows = locations.geo_rows(register, as_of)
+    orphans = None
     if organisation is not None:
+        orphans = locations.without_parent(rows, organisation)
         rows = locations.with_parent(rows, organisation)
-    merged = locations.upsert_locations(geo, rows, as_of, unique=True).next
-    return locations.keep_latest_head_office(merged)
+    merged = locations.upsert_locations(geo, rows, as_of, unique=True)
+    rejects = merged.rejects if orphans is None else merged.rejects.unionByName(orphans)
+    return Upserted(locations.keep_latest_head_office(merged.next), rejects)
 
 
 def refresh_codes(
@@ -67,23 +74,61 @@ def refresh_codes(
     candidates = codes.code_candidates(register, as_of)
     by_code = codes.code_month_over_month(counts, as_of)
     by_category = codes.category_month_over_month(totals, as_of)
+    merged = codes.upsert_codes(code_table, candidates, as_of, unique=True)
     return Codes(
-        codes.upsert_codes(code_table, candidates, as_of, unique=True).next,
+        merged.next,
         codes.upsert_code_analytics(code_analytics, by_code, as_of).next,
         codes.fill_descriptions(
             codes.upsert_category_analytics(category_analytics, by_category, as_of).next,
             categories,
         ),
+        merged.rejects,
     )
 
 
+def load_month(
+    counts: DataFrame,
+    totals: DataFrame,
+    register: DataFrame,
+    file_date: dt.date,
+    category: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The monthly fact and the category totals with the month of one release.
+
+    All files of the release are counted at once. A month that is loaded again
+    replaces its counts; totals that exist are left alone.
+    """
+    month = codes.monthly_code_counts(register, F.lit(file_date), category)
+    keys = ["sic_code", "file_date"]
+    merged = upsert(counts, month, keys, overwrite=["sic_code_category", "counts"], unique=True)
+    new_totals = codes.category_totals(merged.next)
+    return merged.next, codes.insert_new_totals(totals, new_totals).next
+
+
+def reconcile_month(
+    rowcounts: DataFrame,
+    register: DataFrame,
+    code_table: DataFrame,
+    geo: DataFrame,
+    organisation: DataFrame,
+    as_of: dt.date,
+) -> DataFrame:
+    """All counts and differences of the month of ``as_of``."""
+    counted = reconcile.count_potential_codes(rowcounts, register, as_of, unique=True)
+    counted = reconcile.count_changed_codes(counted, code_table, as_of)
+    counted = reconcile.count_changed_locations(counted, geo, as_of)
+    counted = reconcile.count_changed_organisations(counted, organisation, as_of)
+    return reconcile.add_differences(counted, as_of)
+
+
 def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
     """Refresh all derived tables from the newest register, if a file is waiting.
 
     Expects the tables ``register, organisation, sic_code, sic_counts,
     category_totals, code_analytics, category_analytics, geo_location,
-    post_code_mappings, sic_code_categories, filetracker`` in ``store``. A run
-    that died half-way may be started again under the same name: finished
+    post_code_mappings, sic_code_categories, filetracker`` in ``store``. Rows
+    that have no key go to ``sic_code_rejects`` and ``geo_location_rejects``. A
+    run that died half-way may be started again under the same name: finished
     tables are kept, the others are written.
     """
     tracker = store.read("filetracker")
@@ -97,27 +142,29 @@ def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
         )
         store.write("organisation", merged.next, run, clustered=True)
 
-    tables = ["sic_code", "code_analytics", "category_analytics"]
-    if not all(store.finished(name, run) for name in tables):
+    if not all(store.finished(name, run) for name in Codes._fields):
         refreshed = refresh_codes(
-            *[store.read(name) for name in tables],
+            store.read("sic_code"),
+            store.read("code_analytics"),
+            store.read("category_analytics"),
             register,
             store.read("sic_counts"),
             store.read("category_totals"),
             store.read("sic_code_categories"),
             as_of,
         )
-        for name, table in zip(tables, refreshed):
+        for name, table in refreshed._asdict().items():
             store.write(name, table, run, clustered=name == "sic_code")
 
     if not store.finished("register", run):
         refreshed = refresh_register_addresses(register, store.read("post_code_mappings"))
         register = store.write("register", refreshed, run)
+    # The organisations were just taken from this register, so every row has its
+    # parent and the check would only cost a join.
     if not store.finished("geo_location", run):
-        # The organisations were just taken from this register, so every row has
-        # its parent and the check would only cost a join.
-        geo = refresh_locations(store.read("geo_location"), register, as_of)
-        store.write("geo_location", geo, run)
+        merged = refresh_locations(store.read("geo_location"), register, as_of)
+        store.write("geo_location_rejects", merged.rejects, run)
+        store.write("geo_location", merged.next, run)
 
     store.write("filetracker", control.mark_done(tracker, as_of), run)
     return True

@@ -7,14 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.operators.merge import fits_broadcast, latest_per_key
+from rollbook.operators.merge import fits_broadcast, latest_per_key, measure
 from rollbook.operators.registers import KEY, empty_register, upsert_register
 from rollbook.sources.register import READ_OPTIONS
 from rollbook.sources.schema import FILE_SCHEMA, REGISTER_NAMES
 from rollbook.sources.snapshots import Snapshots
 
 REGISTER = "register"
-BROADCAST_ROWS = 100_000
+REJECTS = "register_rejects"
 
 
 def stream_fragments(
@@ -66,15 +66,19 @@ def ingest_fragments(
 
     The checkpoint remembers handled files, and the batch number names the
     version, so a batch that is played again after a failure changes nothing.
-    A batch of at most ``BROADCAST_ROWS`` rows is broadcast, which leaves the
-    register unshuffled.
+    A batch that is measured to be small is broadcast, which leaves the register
+    unshuffled. Records without a company number go to ``register_rejects``, one
+    version per batch that has any.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         name = f"{run}/{number}"
         if store.finished(REGISTER, name):
             return
-        small = fits_broadcast(batch, BROADCAST_ROWS)
+        size = measure(batch, [KEY])
+        if size.keyless:
+            store.write(REJECTS, batch.filter(F.col(KEY).isNull()), name)
+        small = fits_broadcast(size)
         keyed = batch.filter(F.col(KEY).isNotNull())
         latest = latest_per_key(keyed, [KEY], ("file_time", "file_name"))
         if small:

@@ -64,10 +64,11 @@ def test_files_one_by_one_or_at_once(spark, tmp_path, folder):
     audit = {row.company_number: row.last_modified_by for row in register.collect()}
     assert audit["01"] == "register insert part_1.csv"
     assert audit["02"] == "register update part_2.csv"
+    assert [row.company_name for row in store.read("register_rejects").collect()] == ["NO KEY"]
 
 
 def test_shuffled_merge_gives_the_same(spark, tmp_path, folder, monkeypatch):
-    monkeypatch.setattr(ingest, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(ingest, "fits_broadcast", lambda size: False)
     _, register = run(spark, tmp_path, folder, "shuffled", files_per_batch=1)
     assert names(register) == FINAL
 

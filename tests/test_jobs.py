@@ -15,6 +15,7 @@ from rollbook.sources.snapshots import Snapshots
 SF_DIR = "/root/testdata/sf0.001"
 AS_OF = dt.date(2001, 7, 15)
 RESULTS = ["organisation", "sic_code", "code_analytics", "category_analytics", "register", "geo_location"]
+REJECTS = ["sic_code_rejects", "geo_location_rejects"]
 
 
 @pytest.fixture
@@ -58,6 +59,9 @@ def test_monthly_job(spark, store):
     for name, key in [("organisation", "id"), ("sic_code", "md5"), ("geo_location", "md5_key")]:
         table = store.read(name)
         assert table.count() == table.select(key).distinct().count()
+    assert store.read("sic_code_rejects").filter("md5 is not null").count() == 0
+    assert store.read("sic_code_rejects").count() > 0
+    assert {store.version(name) for name in REJECTS} == {0}
     companies = store.read("register").count()
     assert store.read("organisation").count() == companies
 
@@ -92,3 +96,17 @@ def test_second_month_only_moves_audit_columns(spark, store):
         after = store.read(name)
         assert after.count() == table.count()
         assert table.select(same).exceptAll(after.select(same)).isEmpty()
+
+
+def test_month_is_loaded_once(spark, store):
+    counts, totals = store.read("sic_counts"), store.read("category_totals")
+    register = store.read("register")
+    month = dt.date(2001, 9, 1)
+    category = F.substring("sic_code", 1, 2)
+    once_counts, once_totals = jobs.load_month(counts, totals, register, month, category)
+    added = once_counts.filter(F.col("file_date") == F.lit(month))
+    assert added.agg(F.sum("counts")).first()[0] == codes.count_codes(register, []).agg(F.sum("sic_code_count")).first()[0]
+    twice_counts, twice_totals = jobs.load_month(once_counts, once_totals, register, month, category)
+    assert twice_counts.exceptAll(once_counts).isEmpty()
+    assert twice_totals.exceptAll(once_totals).isEmpty()
+    assert twice_totals.count() == once_totals.count()

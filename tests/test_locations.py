@@ -122,7 +122,7 @@ def test_old_address_that_returns_is_dropped(spark):
     """The highest id stays, though the file names the older address again."""
     geo = geo_of(spark, (1, "UK1", "A1 1AA", "HEAD_OFFICE", "UK"), (2, "UK1", "B1 1AA", "HEAD_OFFICE", "UK"))
     register = register_of(spark, ("1", "l", "l", "t", "c", "A1 1AA"))
-    refreshed = jobs.refresh_locations(geo, register, AS_OF).collect()
+    refreshed = jobs.refresh_locations(geo, register, AS_OF).next.collect()
     assert [row.id for row in refreshed] == [2]
 
 
@@ -140,7 +140,7 @@ def test_at_most_one_home_head_office(spark, mapping):
     register = register_of(spark, *[(str(n), "l", "B2 3AA", "t", None, None if n % 2 else "Z1 1ZZ") for n in range(40)])
     geo = geo_of(spark, *[(n, f"UK{n % 25}", f"P{n % 7}", "HEAD_OFFICE", "UK") for n in range(100)])
     geo = geo.dropDuplicates(["md5_key"])
-    refreshed = jobs.refresh_locations(geo, jobs.refresh_register_addresses(register, mapping), AS_OF)
+    refreshed = jobs.refresh_locations(geo, jobs.refresh_register_addresses(register, mapping), AS_OF).next
     offices = refreshed.filter(locations.is_home_head_office()).groupBy("organisation_id").count()
     assert offices.agg(F.max("count")).first()[0] == 1
     assert offices.count() == 40

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators.merge import fits_broadcast, latest_per_key, upsert
+from rollbook.operators.merge import fits_broadcast, latest_per_key, measure, upsert
 
 TARGET = "k string, a string, b int, note string"
 
@@ -69,11 +71,43 @@ def test_small_batch_leaves_the_target_unshuffled(spark, target, batch):
 
 
 def test_broadcast_needs_rows_and_characters_in_bounds(spark):
-    frame = spark.createDataFrame([("abc", None), ("de", 7)], "a string, b int")
-    assert fits_broadcast(frame, 2, 6)
-    assert not fits_broadcast(frame, 1, 6)
-    assert not fits_broadcast(frame, 2, 5)
-    assert fits_broadcast(frame.limit(0), 0, 0)
+    frame = spark.createDataFrame([("abc", None), ("de", 7), (None, 8)], "a string, b int")
+    size = measure(frame, ["a"])
+    assert (size.rows, size.characters, size.keyless) == (3, 7, 1)
+    assert fits_broadcast(size, 3, 7)
+    assert not fits_broadcast(size, 2, 7)
+    assert not fits_broadcast(size, 3, 6)
+    assert fits_broadcast(measure(frame.limit(0), ["a"]), 0, 0)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("small", [False, True])
+def test_random_batches_against_dictionaries(spark, seed, small):
+    random = Random(seed)
+    schema = "k string, a int, b string"
+    known = {f"k{n}": (f"k{n}", random.choice([None, n]), "seed") for n in random.sample(range(40), 25)}
+    batch = [
+        (random.choice([None, *[f"k{n}" for n in range(40)]]), random.choice([None, 1, 2]), f"v{n}")
+        for n in range(60)
+    ]
+    expected = dict(known)
+    last = {}
+    for k, a, b in batch:
+        if k is not None:
+            last[k] = max(last.get(k, (-1, "")), (-1 if a is None else a, b))
+    for k, (a, b) in last.items():
+        new = None if a == -1 else a
+        expected[k] = (k, new, known[k][2] + "+" if k in known else b)
+    merged = upsert(
+        spark.createDataFrame(list(known.values()), schema).withColumn("old", F.col("b")),
+        spark.createDataFrame(batch, schema),
+        ["k"],
+        overwrite=["a"],
+        on_match={"b": F.lit("seed+")},
+        small=small,
+    )
+    assert rows(merged.next.drop("old")) == sorted(expected.values(), key=str)
+    assert merged.rejects.count() == sum(k is None for k, _, _ in batch)
 
 
 def test_same_batch_twice_changes_nothing_more(target, batch):
