@@ -128,17 +128,17 @@ def landing_overwrite(spark, views):
 
 @check
 def release_links(spark, views):
-    return views("release_links")
+    return releases.page_links(views("pages"))
 
 
 @check
 def matching_links(spark, views):
-    return releases.release_links(views("release_links"), LINK_NAME_PATTERN)
+    return releases.release_links(releases.page_links(views("pages")), LINK_NAME_PATTERN)
 
 
 @check
 def unprocessed_releases(spark, views):
-    links = views("release_links").withColumnRenamed("href", "filename")
+    links = releases.page_links(views("pages")).withColumnRenamed("href", "filename")
     return releases.unprocessed(links, views("filetracker"))
 
 

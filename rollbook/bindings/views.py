@@ -114,9 +114,11 @@ def view_texts(text: str, macros: dict[str, str]) -> list[str]:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the views as a DataFrame over the Parquet tables of ``sf_dir``."""
+    """One of the views, or a table itself, over the Parquet tables of ``sf_dir``."""
+    if name in TABLES:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     texts = view_texts(name, SPARK_MACROS)
     used = [table for table in TABLES if any(f"from {table}" in text for text in texts)]
     sources = [f"{table} as (select * from {{{table}}})" for table in used]
-    frames = {table: spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in used}
+    frames = {table: view(spark, sf_dir, table) for table in used}
     return spark.sql(f"with {', '.join(sources + texts)} select * from {name}", **frames)

@@ -146,7 +146,9 @@ def upsert_locations(
     Ids continue after the highest one. Every row of the batch draws a number,
     so known addresses leave gaps, as they do in an auto-increment column.
     """
-    keyed = rows.filter(has_key(["md5_key"]))
+    # The key is NULL where one of these is. They are the cheaper filter, as one
+    # on the key would compute the hash a second time at the scan.
+    keyed = rows.filter(has_key(["organisation_id", "post_code"]))
     if not unique:
         keyed = latest_per_key(keyed, ["md5_key"])
     last_id = target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()

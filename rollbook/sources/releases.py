@@ -9,7 +9,7 @@ from rollbook.functions import columns as c
 
 # The name of a release file, and a link in a page.
 RELEASE_FILE_PATTERN = "BasicCompanyDataAsOneFile-[0-9]{4}-[0-9]{2}-[0-9]{2}\\.zip"
-LINK_PATTERN = 'href="([^"]+)"'
+LINK_PATTERN = "(?i)<a\\s[^>]*?href\\s*=\\s*[\"']([^\"']+)[\"']"
 
 
 def page_links(pages: DataFrame) -> DataFrame:

@@ -72,13 +72,14 @@ def test_release_pages(spark):
         [
             (1, '<a href="BasicCompanyDataAsOneFile-2024-01-01.zip">a</a><a href="other.zip">b</a>'),
             (2, '<a href="/x/BasicCompanyDataAsOneFile-2024-02-01.zip"><a href="BasicCompanyDataAsOneFile-2024-01-01.zip">'),
-            (3, "<p>nothing</p>"),
+            (3, "<link href='style.css'><p>nothing</p><A class=x HREF = 'third.zip'>"),
             (4, None),
         ],
         "page_id bigint, html string",
     )
     links = releases.page_links(pages)
-    assert links.count() == 4
+    assert links.count() == 5
+    assert [row.href for row in links.filter("page_id = 3").collect()] == ["third.zip"]
     found = releases.release_links(links)
     assert {(row.page_id, row.filename[-14:-4], row.release_date) for row in found.collect()} == {
         (1, "2024-01-01", dt.date(2024, 1, 1)),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.session import scratch_folder
 from rollbook.sources import register as files
 from rollbook.sources.schema import CODE_TEXTS, FILE_HEADER, REGISTER_NAMES
 
@@ -98,3 +99,20 @@ def test_landing_holds_the_last_batch(spark, tmp_path):
     files.land(spark.range(10), path)
     assert files.land(spark.range(3), path).count() == 3
     assert files.land(spark.range(0), path).count() == 0
+
+
+class Session:
+    """As much of a session as the scratch folder asks for."""
+
+    def __init__(self, master, settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(settings.get)})
+
+
+def test_scratch_lies_in_the_shared_folder():
+    shared = Session("yarn", {"spark.checkpoint.dir": "hdfs://shared/tmp/"})
+    assert scratch_folder(shared, "x").startswith("hdfs://shared/tmp/rollbook-x-")
+    assert scratch_folder(shared, "x") != scratch_folder(shared, "x")
+    with pytest.raises(ValueError):
+        scratch_folder(Session("yarn", {}), "x")
+    assert "rollbook-x-" in scratch_folder(Session("local[8]", {}), "x")
