@@ -61,6 +61,13 @@ class Snapshots:
     def finished(self, name: str, run: str) -> bool:
         return any(entry.name == name and entry.run == run for entry in self.entries)
 
+    def bucketed(self, name: str) -> bool:
+        """Whether the newest version can be read without a shuffle by its key."""
+        version = self.version(name)
+        if name not in self.buckets or version < 0:
+            return False
+        return self.spark.catalog.tableExists(self._table(name, version))
+
     def read(self, name: str, empty: DataFrame | None = None) -> DataFrame:
         """The newest version, or ``empty`` if the table was never written."""
         version = self.version(name)
@@ -68,7 +75,7 @@ class Snapshots:
             if empty is None:
                 raise LookupError(f"no version of {name} under {self.root}")
             return empty
-        if name in self.buckets and self.spark.catalog.tableExists(self._table(name, version)):
+        if self.bucketed(name):
             return self.spark.table(self._table(name, version))
         return self.spark.read.parquet(self._folder(name, version))
 
@@ -90,7 +97,7 @@ class Snapshots:
         version = self.version(name) + 1
         if name in self.buckets:
             count, key = self.buckets[name]
-            if not clustered or version == 0:
+            if not (clustered and self.bucketed(name)):
                 table = table.repartition(count, key)
             writer = table.write.mode("overwrite")
             writer.bucketBy(count, key).sortBy(key).option(

@@ -67,7 +67,7 @@ def ingest_fragments(
     The checkpoint remembers handled files, and the batch number names the
     version, so a batch that is played again after a failure changes nothing.
     A batch that is measured to be small is broadcast, which leaves the register
-    unshuffled. Records without a company number go to ``register_rejects``, one
+    unshuffled; a bucketed register stays unshuffled with any batch. Records without a company number go to ``register_rejects``, one
     version per batch that has any.
     """
 
@@ -78,7 +78,7 @@ def ingest_fragments(
         size = measure(batch, [KEY])
         if size.keyless:
             store.write(REJECTS, batch.filter(F.col(KEY).isNull()), name)
-        small = fits_broadcast(size)
+        small = fits_broadcast(size) and not store.bucketed(REGISTER)
         keyed = batch.filter(F.col(KEY).isNotNull())
         latest = latest_per_key(keyed, [KEY], ("file_time", "file_name"))
         if small:

@@ -73,6 +73,24 @@ def test_shuffled_merge_gives_the_same(spark, tmp_path, folder, monkeypatch):
     assert names(register) == FINAL
 
 
+def test_bucketed_register(spark, tmp_path, folder):
+    spark.sql("create database if not exists ingest_test")
+    spark.catalog.setCurrentDatabase("ingest_test")
+    try:
+        root = tmp_path / "bucketed" / "tables"
+        store = Snapshots(spark, str(root), buckets={"register": (8, "company_number")})
+        _, register = run(spark, tmp_path, folder, "bucketed", store, files_per_batch=1)
+        assert names(register) == FINAL
+        assert store.bucketed("register")
+        for version in range(3):
+            assert len(list((root / "register" / f"version={version:08d}").glob("*.parquet"))) <= 8
+        unbucketed = Snapshots(spark, str(root))
+        assert names(unbucketed.read("register")) == FINAL
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+        spark.sql("drop database ingest_test cascade")
+
+
 def test_only_new_files_are_read(spark, tmp_path, folder):
     store, _ = run(spark, tmp_path, folder, "again")
     _, same = run(spark, tmp_path, folder, "again", store)
