@@ -12,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 LOG_SCHEMA = "name string, version bigint, run string"
 
@@ -106,6 +107,11 @@ class Snapshots:
         else:
             table.write.mode("overwrite").parquet(self._folder(name, version))
         entry = Row(name=name, version=version, run=run)
-        self.spark.createDataFrame([entry], LOG_SCHEMA).write.mode("append").parquet(self._log)
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(name).alias("name"),
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(run).alias("run"),
+        )
+        row.write.mode("append").parquet(self._log)
         self.entries.append(entry)
         return self.read(name)
