@@ -29,8 +29,8 @@ from rollbook.llm.common import pieces, text_bytes
 
 NONE = np.int32(2**31 - 1)
 #: Distinct units that a task remembers; beyond it the memory starts anew.
-MEMORY = 400_000
-CHUNK_BYTES = 32_000_000
+MEMORY = 300_000
+CHUNK_BYTES = 14_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
