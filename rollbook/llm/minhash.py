@@ -7,14 +7,18 @@ the samples that differ. For high similarities this estimate is sharp; candidate
 that are clearly below the threshold go, and the rest are confirmed on full sets.
 The sketch's threshold lies ``SLACK`` standard errors below the wanted similarity.
 
-Equal sets are one class, named by its smallest doc_id. Within a band's bucket the
-members are compared with one leader, in a few rounds with other leaders; members
-that are then in one component need no further comparison. Buckets in which several
-components are left get all their pairs across components compared by sketch, in
-blocks, and only those that pass are written. So a large group of near copies costs
-comparisons in proportion to its size, and no candidate of a bucket is skipped. A
-pair at the threshold shares no bucket with probability (1 - t ** ROWS) ** BANDS,
-4e-7 for t = 0.8.
+Equal sets are one class, named by its smallest doc_id. A band's bucket is not compared
+all with all. First, its members meet the one that shares most buckets with others.
+Of buckets that then hold several components, the members' own shingles are counted:
+those that no other member of such a bucket has, and that therefore cannot be common.
+A pair reaches at most ``min(c) / (max(c) + own + own)``, c being the other shingles, so
+a member that cannot reach the threshold even with the one of the fewest own shingles
+leaves the bucket; the rest meet that one. Members that still share buckets of several
+components are a family: its pairs across components are compared in blocks, by that
+bound and then by their shared shingles, and only links are written. The bounds are
+exact, so no pair of a bucket is lost, and a large group of near copies, or of texts
+around one passage, writes rows in proportion to its size. A pair at the threshold shares no bucket with probability
+(1 - t ** ROWS) ** BANDS, 4e-7 for t = 0.8.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle; rows with
@@ -37,8 +41,9 @@ from rollbook.llm.components import components
 BANDS, ROWS = 28, 4
 SKETCH_BITS = 512
 SLACK = 5.0
-LEADER_ROUNDS = 3
-#: Members of a bucket that one task compares with as many others at once.
+#: Ids up to which a list of documents is broadcast to the texts instead of shuffled with them.
+BROADCAST_IDS = 1_000_000
+#: Members of a family that one task compares with as many others at once.
 BLOCK = 1_024
 #: A shingle is named by so many bits of its hash, which leaves room for the row.
 NAME_BITS = 50
@@ -157,16 +162,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(names))], ["node", "names"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     return texts.join(wanted, "doc_id", "left_semi").mapInArrow(task, "node long, names array<long>")
 
 
 class _Search:
     """The steps on candidate pairs; what one step hands to the next is a written table."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int):
-        self.docs, self.width, self.percent = docs, width, percent
-        self.nodes = classes.select("node", "n_shingles", "sketch")
+    def __init__(self, docs: DataFrame, classes: DataFrame, members: DataFrame, width: int, percent: int):
+        self.percent = percent
         self.limit = most_differing_bits(percent / 100)
+        self.nodes = classes.select("node", "n_shingles", "sketch")
+        wanted = write_scratch(members.select(F.col("node").alias("doc_id")).distinct(), "nodes")
+        self.sets = write_scratch(_sets(docs, wanted, width), "sets")
+        self.links: DataFrame | None = None
 
     def _sides(self, pairs: DataFrame, table: DataFrame) -> DataFrame:
         """Pairs (a, b) with the columns of the table for a and for b."""
@@ -174,73 +184,137 @@ class _Search:
             pairs = pairs.join(table.select([F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in table.columns]), side)
         return pairs
 
-    def plausible(self, pairs: DataFrame) -> DataFrame:
+    def _plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs that sizes and sketches do not rule out."""
         pairs = self._sides(pairs, self.nodes)
         fits = 100 * F.least("a_n_shingles", "b_n_shingles") >= self.percent * F.greatest("a_n_shingles", "b_n_shingles")
         differing = F.aggregate(F.zip_with("a_sketch", "b_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        return pairs.where(fits & (differing <= self.limit)).select("a", "b")
+        return pairs.where(fits & (differing <= self.limit)).select("a", "b").distinct()
 
-    def links(self, pairs: DataFrame) -> DataFrame:
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar enough."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = write_scratch(_sets(self.docs, wanted, self.width), "sets")
         common = F.size(F.array_intersect("a_names", "b_names"))
         either = F.size("a_names") + F.size("b_names") - common
-        return self._sides(pairs, sets).where(100 * common >= self.percent * either).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-    def confirmed(self, pairs: DataFrame, label: str) -> DataFrame:
-        return write_scratch(self.links(write_scratch(self.plausible(pairs), "pairs")), label)
-
-
-def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
-    labelled = members.join(found.withColumnRenamed("component", "label"), "node", "left")
-    return labelled.select("bucket", "node", F.coalesce("label", "node").alias("component"))
-
-
-def _open_buckets(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
+        sides = self._sides(pairs, self.sets)
+        return sides.where(100 * common >= self.percent * either).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    def connect(self, pairs: DataFrame) -> DataFrame:
+        """Add the links among the pairs; returns the components of all links so far."""
+        pairs = write_scratch(self._plausible(pairs), "pairs")
+        return self.add(self._confirmed(pairs))
+
+    def add(self, new: DataFrame) -> DataFrame:
+        new = write_scratch(new, "links")
+        self.links = new if self.links is None else self.links.unionByName(new)
+        return write_scratch(components(self.links), "components")
+
+    def names_of(self, members: DataFrame) -> DataFrame:
+        """The shingles of the members, as (node, name)."""
+        return self.sets.join(members.select("node").distinct(), "node", "left_semi").select("node", F.explode("names").alias("name")).distinct()
+
+    def own_shingles(self, members: DataFrame) -> DataFrame:
+        """(node, shared, own): how many of a member's shingles no other member of these buckets has."""
+        nodes = members.select("node").distinct()
+        names = self.names_of(members)
+        alone = names.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+        counts = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+        sizes = self.nodes.groupBy("node").agg(F.max("n_shingles").alias("size")).join(nodes, "node", "left_semi")
+        own = F.coalesce("own", F.lit(0))
+        return sizes.join(counts, "node", "left").select("node", (F.col("size") - own).alias("shared"), own.alias("own"))
+
+    def within_reach(self, members: DataFrame) -> DataFrame:
+        """Members that may reach the threshold with the bucket's member of the fewest own shingles."""
+        fewest = members.groupBy("bucket").agg(F.min("own").alias("fewest"))
+        reach = 100 * F.col("shared") >= self.percent * (F.col("shared") + F.col("own") + F.col("fewest"))
+        return members.join(fewest, "bucket").where(reach).drop("fewest")
+
+
+def _open_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with their components, of buckets that hold more than one of these."""
+    members = members.drop("component").join(found.withColumnRenamed("component", "label"), "node", "left")
+    members = members.withColumn("component", F.coalesce("label", "node")).drop("label")
     several = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return members.join(several.where("low < high").select("bucket"), "bucket")
 
 
-def _leader_pairs(members: DataFrame, number: int) -> DataFrame:
-    """Every member with its bucket's leader, if that is in another component."""
-    order = F.col("node") if number == 0 else F.xxhash64(F.lit(number), "node")
-    leaders = members.groupBy("bucket").agg(F.min(F.struct(order.alias("at"), "node", "component")).alias("leader"))
+def _leader_pairs(members: DataFrame, order: list) -> DataFrame:
+    """Every member with its bucket's first by that order, if that is in another component."""
+    leaders = members.groupBy("bucket").agg(F.min(F.struct(*order, "node", "component")).alias("leader"))
     pairs = members.join(leaders, "bucket").where(F.col("component") != F.col("leader.component"))
     return pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
 
 
-def _across(left: pa.Table, right: pa.Table, limit: int) -> pa.Table:
-    """Pairs of two blocks of a bucket, in different components, whose sketches are close."""
+def _across(left: pa.Table, right: pa.Table, percent: int) -> pa.Table:
+    """Links between two blocks of a family, across components, by the members' shared shingles."""
 
     def arrays(table: pa.Table):
         table = table.rename_columns([c.removeprefix("right_") for c in table.column_names])
-        flat = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64)
-        return table.column("node").to_numpy(), table.column("component").to_numpy(), flat.reshape(table.num_rows, -1)
+        names = table.column("names").combine_chunks()
+        ends = np.concatenate(([0], np.cumsum(names.value_lengths().to_numpy(), dtype=np.int64)))
+        return [table.column(c).to_numpy() for c in ("node", "component", "shared", "own")], names.flatten().to_numpy(), ends
 
-    (a, a_part, a_bits), (b, b_part, b_bits) = arrays(left), arrays(right)
+    (a, a_names, a_ends), ((node, part, shared, own), names, ends) = arrays(left), arrays(right)
+    known, place = np.unique(names, return_inverse=True)
     low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for node, part, bits in zip(a, a_part, a_bits, strict=True):
-        near = (np.bitwise_count(b_bits ^ bits).sum(axis=1) <= limit) & (b_part != part)
-        low.append(np.minimum(b[near], node))
-        high.append(np.maximum(b[near], node))
-    return pa.table({"a": np.concatenate(low), "b": np.concatenate(high)})
-
-
-def _all_across(members: DataFrame, sketches: DataFrame, limit: int) -> DataFrame:
-    """All close pairs across the components of each bucket, compared block by block."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = members.join(sketches, "node").join(sizes, "bucket").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    for i, (one, one_part, one_shared, one_own) in enumerate(zip(*a, strict=True)):
+        most = 100 * np.minimum(shared, one_shared) >= percent * (np.maximum(shared, one_shared) + own + one_own)
+        for_it = np.flatnonzero(most & (part != one_part))
+        if not len(for_it):
+            continue
+        has = np.zeros(len(known) + 1, bool)
+        mine = a_names[a_ends[i] : a_ends[i + 1]]
+        at = np.searchsorted(known, mine)
+        has[at[known[np.minimum(at, len(known) - 1)] == mine]] = True
+        common = np.array([np.count_nonzero(has[place[ends[j] : ends[j + 1]]]) for j in for_it])
+        linked = for_it[100 * common >= percent * (shared[for_it] + own[for_it] + one_shared + one_own - common)]
+        low.append(np.minimum(node[linked], one))
+        high.append(np.maximum(node[linked], one))
+    return pa.table({"u": np.concatenate(low), "v": np.concatenate(high)})
+
+
+def _families(members: DataFrame) -> DataFrame:
+    """(node, family): members that share a bucket, directly or through others, are a family."""
+    first = members.groupBy("bucket").agg(F.min("node").alias("v"))
+    return components(members.join(first, "bucket").select(F.col("node").alias("u"), "v")).withColumnRenamed("component", "family")
+
+
+def _all_across(members: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """All links across the components of each family, compared block by block."""
+    # A name that one member of all has cannot be common; the counts of these are at hand.
+    several = names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    lists = names.join(several, "name").groupBy("node").agg(F.collect_list("name").alias("names"))
+    family = write_scratch(_families(members), "families")
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    nodes = members.groupBy("node").agg(F.first("component").alias("component"), F.first("shared").alias("shared"), F.first("own").alias("own"))
+    placed = nodes.join(family, "node").join(lists, "node").join(sizes, "family").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    placed = write_scratch(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "family_members")
     # Block i meets the blocks j >= i: as the left side with its own number first, as the right side second.
-    left = placed.withColumn("x", F.col("own")).withColumn("y", F.explode(F.sequence("own", F.col("blocks") - 1)))
-    right = placed.withColumn("y", F.col("own")).withColumn("x", F.explode(F.sequence(F.lit(0), "own")))
+    left = placed.withColumn("x", F.col("block")).withColumn("y", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    right = placed.withColumn("y", F.col("block")).withColumn("x", F.explode(F.sequence(F.lit(0), "block")))
     right = right.select([F.col(c).alias(f"right_{c}") for c in right.columns])
-    by = ["bucket", "x", "y"]
-    pairs = left.groupBy(*by).cogroup(right.groupBy(*[f"right_{c}" for c in by])).applyInArrow(lambda a, b: _across(a, b, limit), "a long, b long")
-    return pairs.distinct()
+    by = ["family", "x", "y"]
+    pairs = left.groupBy(*by).cogroup(right.groupBy(*[f"right_{c}" for c in by]))
+    return pairs.applyInArrow(lambda a, b: _across(a, b, percent), "u long, v long")
+
+
+def _found(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) of all classes that are linked with another."""
+    members = classes.select("node", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = write_scratch(members.join(shared, "bucket").withColumn("component", F.col("node")), "members")
+    search = _Search(docs, classes, members, width, percent)
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    found = search.connect(_leader_pairs(members.join(weights, "node"), [-F.col("weight")]))
+    members = write_scratch(_open_buckets(members.select("bucket", "node"), found), "members")
+    members = members.join(write_scratch(search.own_shingles(members), "own"), "node")
+    members = write_scratch(_open_buckets(search.within_reach(members), found), "members")
+    if members.isEmpty():
+        return found
+    found = search.connect(_leader_pairs(members, [F.col("own")]))
+    members = write_scratch(_open_buckets(members, found), "members")
+    if members.isEmpty():
+        return found
+    return search.add(_all_across(members, search.names_of(members), percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -254,22 +328,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     classes = write_scratch(classes, "classes")
-    search = _Search(docs, classes, width, percent)
-    members = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = write_scratch(members.join(shared, "bucket").distinct().withColumn("component", F.col("node")), "members")
-    links, found = None, None
-    for number in range(LEADER_ROUNDS + 1):
-        last = number == LEADER_ROUNDS
-        pairs = _all_across(members, classes.select("node", "sketch").dropDuplicates(["node"]), search.limit) if last else _leader_pairs(members, number)
-        new = search.confirmed(pairs, "links")
-        links = new if links is None else links.unionByName(new)
-        found = write_scratch(components(links), "components")
-        if last:
-            break
-        members = write_scratch(_open_buckets(_with_component(members.select("bucket", "node"), found)), "members")
-        if members.isEmpty():
-            break
+    found = _found(docs, classes, width, percent)
     of_class = classes.join(found, "node", "left").select(*same, "node", F.coalesce("component", "node").alias("component"))
     linked = signed.select("doc_id", *same).join(of_class, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import ann, bpe, language_id, minhash, sharding, toxicity
+from rollbook.llm import ann, bpe, decontaminate, language_id, licenses, minhash, sharding, suffix_dedup, token_counts, toxicity
 from rollbook.llm.common import crc32_mod
 
 SHARDS = 8
@@ -23,6 +23,16 @@ def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
 
 
+def op2_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.remove_repeats(docs)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+def op3_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +55,31 @@ def op6_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_dice_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(_table(spark, sf_dir, "documents"))
+
+
+def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four edits of every document, derived from the document itself: a replacement, an insertion, an
+    addition at the end, a deletion at the start."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    size = F.length(text)
+    third, half = F.floor(size / 3).cast("int"), F.floor(size / 2).cast("int")
+
+    def edit(start, stop, new):
+        return F.struct(start.alias("start"), stop.alias("stop"), new.alias("text"))
+
+    edits = F.array(
+        edit(third, third + 7, F.substr(text, 2 * third + 1, F.lit(11))),
+        edit(half, half, F.concat(F.lit(" "), F.coalesce(F.col("source"), F.lit("")))),
+        edit(size + 1000, size + 1000, F.concat(F.lit("\n"), F.coalesce(F.col("lang"), F.lit("")), F.lit(" "), F.crc32(text.cast("binary")).cast("string"))),
+        edit(F.lit(0), F.lit(3), F.lit("")),
+    )
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", edits.alias("edits"))
+    return token_counts.count_tokens(docs, ranks, public_tokenizers.PATTERN).drop("text", "edits")
+
+
 def op9_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc32_mod(F.col("doc_id"), 5) == 0
@@ -60,7 +95,23 @@ def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kmeans_tree, op4_odd_sketch, op5_rendezvous, op6_merge_replay, op9_ftrl, op10_output_codes)
+    f.__name__: f
+    for f in (
+        op1_kmeans_tree,
+        op2_suffix_levels,
+        op3_simhash_windows,
+        op4_odd_sketch,
+        op5_rendezvous,
+        op6_merge_replay,
+        op7_dice_bigrams,
+        op8_edit_counts,
+        op9_ftrl,
+        op10_output_codes,
+    )
 }
 
-ORACLES: dict[str, str] = {"op5_rendezvous": sharding.oracle(SHARDS)}
+ORACLES: dict[str, str] = {
+    "op3_simhash_windows": decontaminate.oracle(),
+    "op5_rendezvous": sharding.oracle(SHARDS),
+    "op7_dice_bigrams": licenses.oracle(),
+}
