@@ -119,7 +119,8 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     if not sizes:
         return docs.select(F.col("doc"), F.col("mark"), F.lit(0).alias("n_words"), F.lit(0).alias("start")).where(F.lit(False))
     known = write_scratch(items.select(F.explode("item").alias("hash")).distinct(), "shingles")
-    placed = _hashed(docs, "hashes").select("doc", "mark", F.posexplode("hashes").alias("place", "hash"))
+    # Outer, as the filter that Spark derives from an inner one would compute the hashes twice, word by word.
+    placed = _hashed(docs, "hashes").select("doc", "mark", F.posexplode_outer("hashes").alias("place", "hash"))
     found = write_scratch(placed.join(_checked_broadcast(known), "hash", "left_semi").select("doc", "mark", "place").distinct(), "found")
     order = Window.partitionBy("doc", "mark").orderBy("place")
     reach = {need: F.lead("place", need - 1).over(order) for need in {_least(size) for _, size in sizes}}
@@ -135,7 +136,7 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
             for words, size in sizes
         )
     )
-    starts = found.select("doc", "mark", "place", kinds.alias("kinds")).select("doc", "mark", "place", F.explode("kinds").alias("kind"))
+    starts = found.select("doc", "mark", "place", kinds.alias("kinds")).select("doc", "mark", "place", F.explode_outer("kinds").alias("kind"))
     # The known shingle that makes it enough must lie within the window.
     low = F.greatest(F.col("kind.low"), F.col("kind.enough") - F.col("kind.size") + 1)
     starts = starts.withColumn("low", low).where("kind.enough IS NOT NULL AND low <= place")
@@ -156,11 +157,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lists = windows.join(F.broadcast(sized), "n_words").groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n_words", "size")).alias("windows"))
     texts = docs.join(_checked_broadcast(write_scratch(lists.select("doc", "mark").distinct(), "marked")), ["doc", "mark"], "left_semi")
     cut = texts.dropDuplicates(["doc", "mark"]).join(lists, ["doc", "mark"])
-    cut = _hashed(cut, "hashes").select("doc", F.explode("windows").alias("w"), "hashes")
+    cut = _hashed(cut, "hashes").select("doc", F.explode_outer("windows").alias("w"), "hashes")
     cut = cut.select("doc", F.col("w.start").alias("start"), F.col("w.n_words").alias("n_words"), F.slice("hashes", F.col("w.start") + 1, F.col("w.size")).alias("window"))
     cut = write_scratch(cut, "window_shingles").withColumn("print", simhash(F.col("window")))
-    left = cut.withColumn("block", F.explode(_blocks(F.col("print"))))
-    right = items.withColumn("block", F.explode(_blocks(F.col("item_print"))))
+    cut = write_scratch(cut, "prints")
+    left = cut.withColumn("block", F.explode_outer(_blocks(F.col("print"))))
+    right = items.withColumn("block", F.explode_outer(_blocks(F.col("item_print"))))
     near = left.join(right, ["n_words", "block"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     # A pair that agrees in several blocks is taken in the first of them.
     xor = F.col("print").bitwiseXOR(F.col("item_print"))

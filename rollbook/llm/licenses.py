@@ -84,7 +84,8 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] | None = N
     least, most = min(r[4] for r in rows), max(r[5] for r in rows)
     spark = docs.sparkSession
     index = spark.createDataFrame(rows, "bigram string, license_id string, template int, size int, low int, high int")
-    cut = docs.select("doc_id", F.explode(_segments(F.col("text").cast("string"))).alias("segment"))
+    # Outer explodes: the filters that Spark derives from inner ones would compute their arrays twice.
+    cut = docs.select("doc_id", F.explode_outer(_segments(F.col("text").cast("string"))).alias("segment"))
     words = cut.select("doc_id", F.filter(F.split("segment", "[ \n]"), lambda w: w != "").alias("words"))
     # A set of n bigrams takes n + 1 words at least and n + 1 different ones at most.
     fits = (F.size("words") >= max(1, least)) & (F.size(F.array_distinct("words")) <= most + 1)
@@ -93,7 +94,7 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] | None = N
     made = words.select("doc_id", F.xxhash64("words").alias("segment"), bigrams.alias("bigrams"))
     # Pruned segments have null here; as a filter, this would make the bigrams twice.
     kept = F.when(F.size("bigrams").between(least, most), F.col("bigrams"))
-    pairs = made.select("doc_id", "segment", F.size("bigrams").alias("own"), F.explode(kept).alias("bigram"))
+    pairs = made.select("doc_id", "segment", F.size("bigrams").alias("own"), F.explode_outer(kept).alias("bigram"))
     pairs = pairs.join(F.broadcast(index), "bigram").where(F.col("own").between(F.col("low"), F.col("high"))).distinct()
     shared = pairs.groupBy("doc_id", "segment", "license_id", "template", "own", "size").agg(F.count(F.lit(1)).alias("common"))
     scored = shared.withColumn("dice", 2.0 * F.col("common") / (F.col("own") + F.col("size"))).where(F.col("dice") >= threshold)
