@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from rollbook.llm.common import RollingHash, pieces, text_bytes, write_scratch
 
 LENGTH = 200
-PREFIX = 32
+PREFIX = 96
 BATCHES = 2
 #: Bits of a sort key that hold the position within a piece of text.
 PLACE_BITS = 28
@@ -144,8 +144,8 @@ class SuffixLevels:
 
 
 def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(suffix, block, hashes): the fingerprints of all windows of the wanted blocks."""
-    lists = wanted.groupBy(_ID, _MARK).agg(F.collect_list(F.struct("start", "run", "suffix", "block")).alias("wanted"))
+    """(block, hashes): the fingerprints of all windows of the wanted blocks."""
+    lists = wanted.groupBy(_ID, _MARK).agg(F.collect_list(F.struct("start", "run", "block")).alias("wanted"))
     texts = docs.select(F.col("text").cast("string").alias("text"), _ID, _MARK).where(F.octet_length("text") >= LENGTH)
 
     def task(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,19 +160,20 @@ def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             ends = np.cumsum(count)
             at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
             hashes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(windows[at].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([flat.field("suffix"), flat.field("block"), hashes], ["suffix", "block", "hashes"])
+            yield pa.RecordBatch.from_arrays([flat.field("block"), hashes], ["block", "hashes"])
 
-    return texts.join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "suffix long, block long, hashes array<long>")
+    return texts.join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "block long, hashes array<long>")
 
 
 def _repeated_windows(docs: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(suffix, block, windows): which windows of the given blocks occur in another of them."""
+    """(block, windows): which windows of the given blocks occur in another of them."""
     rows = _window_rows(docs, kinds.select("suffix", "block", "place.*"))
-    windows = write_scratch(rows.select("suffix", "block", F.posexplode("hashes").alias("at", "hash")), "windows")
+    # A block's fingerprint covers its suffix, so it names the block alone.
+    windows = write_scratch(rows.select("block", F.posexplode("hashes").alias("at", "hash")), "windows")
     # Equal rows share a name, so one window may come several times; two places are needed.
-    place = F.struct("suffix", "block", "at")
+    place = F.struct("block", "at")
     twice = windows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash")
-    return windows.join(twice, "hash").groupBy("suffix", "block").agg(F.collect_set("at").alias("windows"))
+    return windows.join(twice, "hash").groupBy("block").agg(F.collect_set("at").alias("windows"))
 
 
 def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -190,10 +191,10 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     kinds = write_scratch(kinds, "kinds")
     several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("suffix")
     partly = _repeated_windows(docs, kinds.join(several, "suffix"))
-    whole = kinds.where("n > 1").select("suffix", "block", F.lit(None).cast("array<int>").alias("windows"))
-    single = partly.join(kinds.where("n = 1").select("suffix", "block"), ["suffix", "block"])
-    repeated = whole.unionByName(single.select("suffix", "block", F.array_sort("windows").alias("windows")))
-    spans = members.join(repeated, ["suffix", "block"]).select(_ID, _MARK, "start", F.struct("start", "run", "windows").alias("span"))
+    whole = kinds.where("n > 1").select("block", F.lit(None).cast("array<int>").alias("windows"))
+    single = partly.join(kinds.where("n = 1").select("block"), "block")
+    repeated = whole.unionByName(single.select("block", F.array_sort("windows").alias("windows")))
+    spans = members.join(repeated, "block").select(_ID, _MARK, "start", F.struct("start", "run", "windows").alias("span"))
     return spans.groupBy(_ID, _MARK).agg(F.collect_list("span").alias("spans"))
 
 
