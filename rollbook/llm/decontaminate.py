@@ -7,9 +7,9 @@ of their shingles, each weighted by how often it occurs: the sum of the smaller
 weights over the sum of the larger ones. Reported is, for a document and an item, the
 first window of the greatest similarity, if that is ``PERCENT`` or more.
 
-1. A window that similar has ``PERCENT`` of the item's shingles in it. So windows are
-   only placed where that many shingles of any item stand in a document; this bound
-   loses nothing.
+1. A window that similar has ``PERCENT`` of the item's shingles in it. So windows of a
+   size are only placed where that many shingles of items of this size stand in a
+   document; this bound loses nothing.
 2. Each such window gets a 64-bit SimHash, as each item does. The fingerprints are
    cut into ``RADIUS + 1`` blocks: two that differ in ``RADIUS`` bits at most agree in
    one block, so the join on (words, block number, block) finds all pairs within the
@@ -30,7 +30,7 @@ rows. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import write_scratch
@@ -103,11 +103,6 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return write_scratch(hashed, "item_shingles").withColumn("item_print", simhash(F.col("item")))
 
 
-def _least(size: int) -> int:
-    """Shingles of an item with ``size`` of them that a similar window holds at least."""
-    return max(1, -(-PERCENT * size // 100))
-
-
 def _checked_broadcast(rows: DataFrame) -> DataFrame:
     """Broadcast a table of few columns if its counted rows are few; otherwise leave the join to Spark."""
     return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
@@ -115,32 +110,23 @@ def _checked_broadcast(rows: DataFrame) -> DataFrame:
 
 def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc, mark, n_words, start): the windows that hold enough shingles of items."""
-    sizes = sorted((r["n_words"], r["shingles"]) for r in items.select("n_words", F.size("item").alias("shingles")).distinct().collect())
-    if not sizes:
-        return docs.select(F.col("doc"), F.col("mark"), F.lit(0).alias("n_words"), F.lit(0).alias("start")).where(F.lit(False))
-    known = write_scratch(items.select(F.explode("item").alias("hash")).distinct(), "shingles")
+    known = items.select("n_words", F.size("item").alias("size"), F.explode("item").alias("hash")).distinct()
+    known = write_scratch(known, "shingles")
     # Outer, as the filter that Spark derives from an inner one would compute the hashes twice, word by word.
     placed = _hashed(docs, "hashes").select("doc", "mark", F.posexplode_outer("hashes").alias("place", "hash"))
-    found = write_scratch(placed.join(_checked_broadcast(known), "hash", "left_semi").select("doc", "mark", "place").distinct(), "found")
-    order = Window.partitionBy("doc", "mark").orderBy("place")
-    reach = {need: F.lead("place", need - 1).over(order) for need in {_least(size) for _, size in sizes}}
-    kinds = F.array(
-        *(
-            F.struct(
-                F.lit(words).alias("n_words"),
-                F.lit(size).alias("size"),
-                # An early window starts so far before its first known shingle at most.
-                F.greatest(F.col("place") - (size - _least(size)), F.coalesce(F.lag("place").over(order) + 1, F.lit(0)), F.lit(0)).alias("low"),
-                reach[_least(size)].alias("enough"),
-            )
-            for words, size in sizes
-        )
-    )
-    starts = found.select("doc", "mark", "place", kinds.alias("kinds")).select("doc", "mark", "place", F.explode_outer("kinds").alias("kind"))
-    # The known shingle that makes it enough must lie within the window.
-    low = F.greatest(F.col("kind.low"), F.col("kind.enough") - F.col("kind.size") + 1)
-    starts = starts.withColumn("low", low).where("kind.enough IS NOT NULL AND low <= place")
-    return starts.select("doc", "mark", F.col("kind.n_words").alias("n_words"), F.explode(F.sequence("low", "place")).alias("start"))
+    found = placed.join(_checked_broadcast(known), "hash").groupBy("doc", "mark", "n_words", "size").agg(F.array_sort(F.collect_set("place")).alias("places"))
+    found = write_scratch(found, "found")
+    least = F.greatest(F.lit(1), F.ceil(PERCENT * F.col("size") / 100).cast("int"))
+
+    def starts(place: Column, i: Column) -> Column:
+        # A window starts after the known shingle before, and so far before its own first at most that
+        # enough of them can follow; the one that makes it enough must lie within it.
+        enough = F.get("places", i + least - 1)
+        low = F.greatest(place - F.col("size") + least, F.coalesce(F.get("places", i - 1) + 1, F.lit(0)), F.lit(0), enough - F.col("size") + 1)
+        return F.when(enough.isNotNull() & (low <= place), F.sequence(low, place))
+
+    found = found.select("doc", "mark", "n_words", F.explode_outer(F.transform("places", starts)).alias("starts"))
+    return found.select("doc", "mark", "n_words", F.explode(F.col("starts")).alias("start"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
