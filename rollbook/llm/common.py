@@ -11,10 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.session import CHECKPOINT_DIR, scratch_folder
+from rollbook.session import scratch_folder
 
 PIECE_BYTES = 2_000_000
 
@@ -35,14 +35,9 @@ def write_scratch(frame: DataFrame, label: str, partition_by: str | None = None)
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Point checkpoint() at the shared folder that the session names."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get(CHECKPOINT_DIR, None) or scratch_folder(spark, "checkpoints"))
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def checked_broadcast(rows: DataFrame, most: int) -> DataFrame:
+    """Broadcast a written table of a few numbers a row if it has at most so many; otherwise leave the join to Spark."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
 def crc32_mod(key, divisor: int):

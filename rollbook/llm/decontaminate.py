@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import write_scratch
+from rollbook.llm.common import checked_broadcast, write_scratch
 
 WIDTH = 5
 PERCENT = 80
@@ -103,18 +103,13 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return write_scratch(hashed, "item_shingles").withColumn("item_print", simhash(F.col("item")))
 
 
-def _checked_broadcast(rows: DataFrame) -> DataFrame:
-    """Broadcast a table of few columns if its counted rows are few; otherwise leave the join to Spark."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
-
-
 def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc, mark, n_words, start): the windows that hold enough shingles of items."""
     known = items.select("n_words", F.size("item").alias("size"), F.explode("item").alias("hash")).distinct()
     known = write_scratch(known, "shingles")
     # Outer, as the filter that Spark derives from an inner one would compute the hashes twice, word by word.
     placed = _hashed(docs, "hashes").select("doc", "mark", F.posexplode_outer("hashes").alias("place", "hash"))
-    found = placed.join(_checked_broadcast(known), "hash").groupBy("doc", "mark", "n_words", "size").agg(F.array_sort(F.collect_set("place")).alias("places"))
+    found = placed.join(checked_broadcast(known, BROADCAST_ROWS), "hash").groupBy("doc", "mark", "n_words", "size").agg(F.array_sort(F.collect_set("place")).alias("places"))
     found = write_scratch(found, "found")
     least = F.greatest(F.lit(1), F.ceil(PERCENT * F.col("size") / 100).cast("int"))
 
@@ -141,7 +136,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = write_scratch(_windows(docs, items), "windows")
     sized = items.select("n_words", F.size("item").alias("size")).distinct()
     lists = windows.join(F.broadcast(sized), "n_words").groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n_words", "size")).alias("windows"))
-    texts = docs.join(_checked_broadcast(write_scratch(lists.select("doc", "mark").distinct(), "marked")), ["doc", "mark"], "left_semi")
+    texts = docs.join(checked_broadcast(write_scratch(lists.select("doc", "mark").distinct(), "marked"), BROADCAST_ROWS), ["doc", "mark"], "left_semi")
     cut = texts.dropDuplicates(["doc", "mark"]).join(lists, ["doc", "mark"])
     cut = _hashed(cut, "hashes").select("doc", F.explode_outer("windows").alias("w"), "hashes")
     cut = cut.select("doc", F.col("w.start").alias("start"), F.col("w.n_words").alias("n_words"), F.slice("hashes", F.col("w.start") + 1, F.col("w.size")).alias("window"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import RollingHash, mix, pieces, spaced_bytes, word_spans, write_scratch
+from rollbook.llm.common import RollingHash, checked_broadcast, mix, pieces, spaced_bytes, word_spans, write_scratch
 from rollbook.llm.components import components
 
 BANDS, ROWS = 28, 4
@@ -162,9 +162,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(names))], ["node", "names"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return texts.join(wanted, "doc_id", "left_semi").mapInArrow(task, "node long, names array<long>")
+    return texts.join(checked_broadcast(wanted, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(task, "node long, names array<long>")
 
 
 class _Search:

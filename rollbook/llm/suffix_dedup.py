@@ -36,13 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.common import RollingHash, pieces, text_bytes, write_scratch
+from rollbook.llm.common import RollingHash, checked_broadcast, pieces, text_bytes, write_scratch
 
 LENGTH = 200
 PREFIX = 96
 BATCHES = 2
 #: Bits of a sort key that hold the position within a piece of text.
 PLACE_BITS = 28
+#: Hit suffixes, and wanted blocks, up to which they are broadcast instead of shuffled with the rows they meet.
+BROADCAST_SUFFIXES = 2_000_000
+BROADCAST_BLOCKS = 1_000_000
 #: Stands for a null doc_id in joins.
 NO_ID = -(2**63)
 
@@ -171,7 +174,7 @@ def _repeated_windows(docs: DataFrame, kinds: DataFrame) -> DataFrame:
     # A block's fingerprint covers its suffix, so it names the block alone.
     windows = write_scratch(rows.select("block", F.posexplode("hashes").alias("at", "hash")), "windows")
     # Equal rows share a name, so one window may come several times; two places are needed.
-    place = F.struct("block", "at")
+    place = F.xxhash64("block", "at")
     twice = windows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash")
     return windows.join(twice, "hash").groupBy("block").agg(F.collect_set("at").alias("windows"))
 
@@ -183,14 +186,15 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     for batch in range(batches):
         new = family.add(entries.where(F.col("batch") == batch).select("suffix"))
         hits = new if hits is None else hits.unionByName(new)
-    members = entries.drop("batch").join(hits.distinct(), "suffix")
+    hits = write_scratch(hits.distinct(), "hits")
+    members = entries.drop("batch").join(checked_broadcast(hits, BROADCAST_SUFFIXES), "suffix")
     members = write_scratch(members, "members")
     kinds = members.groupBy("suffix", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(_ID, _MARK, "start", "run")).alias("place")
     )
     kinds = write_scratch(kinds, "kinds")
     several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("suffix")
-    partly = _repeated_windows(docs, kinds.join(several, "suffix"))
+    partly = _repeated_windows(docs, write_scratch(kinds.join(several, "suffix"), "wanted"))
     whole = kinds.where("n > 1").select("block", F.lit(None).cast("array<int>").alias("windows"))
     single = partly.join(kinds.where("n = 1").select("block"), "block")
     repeated = whole.unionByName(single.select("block", F.array_sort("windows").alias("windows")))
