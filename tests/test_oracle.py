@@ -7,7 +7,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_module
+from rollbook.bindings.checks import CHECKS
+from rollbook.bindings.oracle import ORACLES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 TABLES = [
@@ -18,8 +19,7 @@ KINDS = {
     "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double",
     "DATE": "date", "BOOLEAN": "boolean",
 }
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = CHECKS
 
 
 @pytest.fixture(scope="module")

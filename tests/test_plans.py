@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry_module
-from rollbook.bindings.checks import AS_OF
+from rollbook.bindings.checks import AS_OF, CHECKS
 from rollbook.functions import columns as c
 from rollbook.operators import codes, locations
 
@@ -15,7 +14,7 @@ EAGER = {
     "ingest_fragments", "refresh_all", "scan_register", "scan_sic_columns", "export_fragments",
     "file_row_counts", "landing_overwrite",
 }
-LAZY = [name for name in entry_module.queries() if name not in EAGER]
+LAZY = [name for name in CHECKS if name not in EAGER]
 
 
 def plan_of(frame):
@@ -24,7 +23,7 @@ def plan_of(frame):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(entry_module.queries()[name](spark, SF_DIR))
+    plan = plan_of(CHECKS[name](spark, SF_DIR))
     for node in ["Python", "CartesianProduct", "BroadcastNestedLoopJoin"]:
         assert node not in plan
 
