@@ -29,8 +29,11 @@ from rollbook.llm.common import pieces, text_bytes
 
 NONE = np.int32(2**31 - 1)
 #: Distinct units that a task remembers; beyond it the memory starts anew.
-MEMORY = 300_000
-CHUNK_BYTES = 14_000_000
+MEMORY = 200_000
+#: Ids that decoding lays out at once.
+DECODE_IDS = 400_000
+#: Bytes of text that one replay takes.
+CHUNK_BYTES = 6_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -284,7 +287,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str
     return rows.mapInArrow(task, _with_column(rows, into, T.BinaryType()))
 
 
-def _parts(batch: pa.RecordBatch, ids: str, most: int = CHUNK_BYTES // 4) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, ids: str, most: int = DECODE_IDS) -> Iterator[pa.RecordBatch]:
     ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     while at < batch.num_rows:
