@@ -84,13 +84,17 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] | None = N
     least, most = min(r[4] for r in rows), max(r[5] for r in rows)
     spark = docs.sparkSession
     index = spark.createDataFrame(rows, "bigram string, license_id string, template int, size int, low int, high int")
+    # Words and bigrams are compared by 64-bit hashes: Spark makes sets of numbers in one pass, but not of texts.
+    index = index.withColumn("words", F.split("bigram", " ")).withColumn(
+        "bigram", F.when(F.size("words") == 1, F.xxhash64(F.get("words", F.lit(0)))).otherwise(F.xxhash64(F.get("words", F.lit(0)), F.get("words", F.lit(1))))
+    ).drop("words")
     # Outer explodes: the filters that Spark derives from inner ones would compute their arrays twice.
     cut = docs.select("doc_id", F.explode_outer(_segments(F.col("text").cast("string"))).alias("segment"))
     words = cut.select("doc_id", F.filter(F.split("segment", "[ \n]"), lambda w: w != "").alias("words"))
     # A set of n bigrams takes n + 1 words at least and n + 1 different ones at most.
-    fits = (F.size("words") >= max(1, least)) & (F.size(F.array_distinct("words")) <= most + 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i)))
-    bigrams = F.when(F.size("words") == 1, F.col("words")).when(fits, F.array_distinct(pairs))
+    fits = (F.size("words") >= max(1, least)) & (F.size(F.array_distinct(F.transform("words", lambda w: F.xxhash64(w)))) <= most + 1)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.xxhash64(F.get("words", i - 1), F.get("words", i)))
+    bigrams = F.when(F.size("words") == 1, F.transform("words", lambda w: F.xxhash64(w))).when(fits, F.array_distinct(pairs))
     made = words.select("doc_id", F.xxhash64("words").alias("segment"), bigrams.alias("bigrams"))
     # Pruned segments have null here; as a filter, this would make the bigrams twice.
     kept = F.when(F.size("bigrams").between(least, most), F.col("bigrams"))
