@@ -93,7 +93,9 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] | None = N
     words = cut.select("doc_id", F.filter(F.split("segment", "[ \n]"), lambda w: w != "").alias("words"))
     # A set of n bigrams takes n + 1 words at least and n + 1 different ones at most.
     fits = (F.size("words") >= max(1, least)) & (F.size(F.array_distinct(F.transform("words", lambda w: F.xxhash64(w)))) <= most + 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.xxhash64(F.get("words", i - 1), F.get("words", i)))
+    # The loop reads its own items only, so that the words are not cut anew for each.
+    length = F.greatest(F.size("words") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("words", 1, length), F.slice("words", 2, length), lambda a, b: F.xxhash64(a, b))
     bigrams = F.when(F.size("words") == 1, F.transform("words", lambda w: F.xxhash64(w))).when(fits, F.array_distinct(pairs))
     made = words.select("doc_id", F.xxhash64("words").alias("segment"), bigrams.alias("bigrams"))
     # Pruned segments have null here; as a filter, this would make the bigrams twice.
