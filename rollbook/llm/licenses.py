@@ -5,7 +5,9 @@ lower-cased, everything but a-z and 0-9 becomes a blank, and it is compared to e
 template, normalised alike, as sets of neighbouring words:
 ``2 * common / (size + size)``. A template of ``s`` bigrams can only reach ``t`` with
 segments of ``s * t / (2 - t)`` to ``s * (2 - t) / t`` bigrams. These bounds prune
-segments before their bigrams are made and pairs before they are counted. Templates
+segments before their bigrams are made and pairs before they are counted. They also say
+how many bigrams must be shared: texts and segments that hold none of a few ``anchors``
+of each template cannot match and are left out by plain byte searches. Templates
 meet segments through an index of bigrams, which is broadcast: its size is that of
 the template list.
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,9 +71,29 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - slack), math.floor(size * (2 - threshold) / threshold + slack)
 
 
-def _segments(text: Column) -> Column:
-    """Lines, paragraphs and the whole of a text, normalised but for single blanks."""
-    plain = F.regexp_replace(F.lower(text), "[^a-z0-9\n]+", " ")
+def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
+    """Bigrams of which every matching segment holds at least one.
+
+    A segment that reaches the threshold shares ``c`` of a template's ``s`` bigrams at
+    least, so it cannot miss all of any ``s - c + 1``. The longest are taken, as they
+    are seldom found elsewhere.
+    """
+    found = set()
+    for _, text in templates:
+        grams = bigram_set(text)
+        low, _ = size_bounds(len(grams), threshold)
+        shared = math.ceil((low + len(grams)) * threshold / 2 - 1e-9)
+        found.update(sorted(grams, key=lambda gram: (-len(gram), gram))[: len(grams) - shared + 1])
+    return sorted(found)
+
+
+def _holds_any(text: Column, parts: list[str]) -> Column:
+    """Whether a text holds one of the parts; plain byte searches, which end with the first hit."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(part)) for part in parts], F.lit(False))
+
+
+def _segments(plain: Column) -> Column:
+    """Lines, paragraphs and the whole of a text in lower case whose other characters are blanks."""
     return F.array_distinct(F.concat(F.split(plain, "\n"), F.split(plain, "\n ?\n[ \n]*"), F.array(plain)))
 
 
@@ -88,9 +111,16 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] | None = N
     index = index.withColumn("words", F.split("bigram", " ")).withColumn(
         "bigram", F.when(F.size("words") == 1, F.xxhash64(F.get("words", F.lit(0)))).otherwise(F.xxhash64(F.get("words", F.lit(0)), F.get("words", F.lit(1))))
     ).drop("words")
+    needed = anchors(templates or TEMPLATES, threshold)
+    lower = docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
+    flat = lower.select("doc_id", "text", F.regexp_replace("text", "[^a-z0-9]+", " ").alias("flat"))
+    # Texts and segments without an anchor become null instead of being filtered: a filter
+    # would be pushed down and normalise the text once for each anchor.
+    plain = flat.select("doc_id", F.when(_holds_any(F.col("flat"), needed), F.regexp_replace("text", "[^a-z0-9\n]+", " ")).alias("plain"))
     # Outer explodes: the filters that Spark derives from inner ones would compute their arrays twice.
-    cut = docs.select("doc_id", F.explode_outer(_segments(F.col("text").cast("string"))).alias("segment"))
-    words = cut.select("doc_id", F.filter(F.split("segment", "[ \n]"), lambda w: w != "").alias("words"))
+    cut = plain.select("doc_id", F.explode_outer(_segments(F.col("plain"))).alias("segment"))
+    flat = cut.select("doc_id", F.trim(F.regexp_replace("segment", "[ \n]+", " ")).alias("segment"))
+    words = flat.select("doc_id", F.when(_holds_any(F.col("segment"), needed), F.split("segment", " ")).alias("words"))
     # A set of n bigrams takes n + 1 words at least and n + 1 different ones at most.
     fits = (F.size("words") >= max(1, least)) & (F.size(F.array_distinct(F.transform("words", lambda w: F.xxhash64(w)))) <= most + 1)
     # The loop reads its own items only, so that the words are not cut anew for each.
@@ -100,7 +130,9 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] | None = N
     made = words.select("doc_id", F.xxhash64("words").alias("segment"), bigrams.alias("bigrams"))
     # Pruned segments have null here; as a filter, this would make the bigrams twice.
     kept = F.when(F.size("bigrams").between(least, most), F.col("bigrams"))
-    pairs = made.select("doc_id", "segment", F.size("bigrams").alias("own"), F.explode_outer(kept).alias("bigram"))
+    # The size is never null, or the join would infer a filter on it and push that down through all of the above.
+    own = F.coalesce(F.size("bigrams"), F.lit(0))
+    pairs = made.select("doc_id", "segment", own.alias("own"), F.explode_outer(kept).alias("bigram"))
     pairs = pairs.join(F.broadcast(index), "bigram").where(F.col("own").between(F.col("low"), F.col("high"))).distinct()
     shared = pairs.groupBy("doc_id", "segment", "license_id", "template", "own", "size").agg(F.count(F.lit(1)).alias("common"))
     scored = shared.withColumn("dice", 2.0 * F.col("common") / (F.col("own") + F.col("size"))).where(F.col("dice") >= threshold)
