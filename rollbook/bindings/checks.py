@@ -98,7 +98,6 @@ def ingest_fragments(spark, views):
         AS_OF,
         "release",
         files_per_batch=-(-parts // INGEST_BATCHES),
-        multi_line=False,
     )
     return register.select(*FILE_COLUMNS, "organisation_id")
 

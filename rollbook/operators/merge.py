@@ -6,13 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IN_TARGET = "__in_target"
 IN_BATCH = "__in_batch"
-BROADCAST_ROWS = 100_000
-BROADCAST_CHARACTERS = 200_000_000
 
 
 class Upserted(NamedTuple):
@@ -39,26 +37,6 @@ def latest_per_key(
     return latest.selectExpr(*[f"`{name}`" if name in keys else f"row.`{name}`" for name in names])
 
 
-def measure(batch: DataFrame, keys: Sequence[str]) -> Row:
-    """Rows, characters and rows without a key, in one pass.
-
-    All three are sums, added up within the tasks; no rows move.
-    """
-    text = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in batch.columns])
-    return batch.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("characters"),
-        F.count_if(~has_key(keys)).alias("keyless"),
-    ).first()
-
-
-def fits_broadcast(
-    size: Row, rows: int = BROADCAST_ROWS, characters: int = BROADCAST_CHARACTERS
-) -> bool:
-    """Whether a measured batch is small enough to be sent to every executor."""
-    return size.rows <= rows and size.characters <= characters
-
-
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -68,7 +46,6 @@ def upsert(
     on_match: Mapping[str, Column] | None = None,
     order: Sequence[str] = (),
     unique: bool = False,
-    small: bool = False,
 ) -> Upserted:
     """Merge ``batch`` into ``target`` by ``keys``.
 
@@ -84,9 +61,7 @@ def upsert(
     aggregation that otherwise makes it so.
 
     The join shuffles both sides on the key. A target that is bucketed by the
-    key is not shuffled. ``small`` states that the batch was measured and
-    ``fits_broadcast``: it is then broadcast and the target stays where it is.
-    Persist such a batch, as it is read several times.
+    key is not shuffled.
     """
     on_insert, on_match = dict(on_insert or {}), dict(on_match or {})
     rejects = batch.filter(~has_key(keys))
@@ -110,9 +85,6 @@ def upsert(
         name: f"__set_{name}" for name in on_match
     }
 
-    if small:
-        return Upserted(_merge_small(target, incoming, keys, matched), rejects)
-
     current = target.filter(has_key(keys)).withColumn(IN_TARGET, F.lit(True))
     merged = current.join(incoming, list(keys), "full_outer").selectExpr(
         *[
@@ -124,31 +96,3 @@ def upsert(
         ]
     )
     return Upserted(merged.unionByName(target.filter(~has_key(keys))), rejects)
-
-
-def _merge_small(
-    target: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    matched: Mapping[str, str],
-) -> DataFrame:
-    """The same merge for a batch whose size has been checked."""
-    hits = F.broadcast(incoming.select(*keys, IN_BATCH, *matched.values()))
-    updated = target.join(hits, list(keys), "left").selectExpr(
-        *[
-            f"case when {IN_BATCH} then `{matched[name]}` else `{name}` end as `{name}`"
-            if name in matched
-            else f"`{name}`"
-            for name in target.columns
-        ]
-    )
-    # At most one row per batch key, hence within the checked bound as well.
-    known = (
-        target.select(*keys)
-        .join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
-        .distinct()
-    )
-    new = incoming.join(F.broadcast(known), list(keys), "left_anti").selectExpr(
-        *[f"`{name}`" if name in keys else f"`__new_{name}` as `{name}`" for name in target.columns]
-    )
-    return updated.unionByName(new)

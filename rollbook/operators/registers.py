@@ -38,7 +38,6 @@ def upsert_register(
     source: str | Column = "",
     order: tuple[str, ...] = (),
     unique: bool = False,
-    small: bool = False,
 ) -> Upserted:
     """Insert new companies, overwrite known ones with all that the batch says.
 
@@ -61,7 +60,6 @@ def upsert_register(
         on_match={"last_modified_by": F.concat(F.lit("register update "), source)},
         order=order,
         unique=unique,
-        small=small,
     )
 
 

@@ -26,30 +26,20 @@ WRITE_OPTIONS = {
 }
 
 
-def values_span_lines(spark: SparkSession, path: str) -> bool:
-    """Whether some quoted value holds a line break.
-
-    Such a value leaves an odd number of quotes on its first line. The check
-    reads the files as plain lines, in splits, and stops at the first hit.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
-
 def scan_register(
-    spark: SparkSession, path: str, multi_line: bool | None = None, file_name: bool = False
+    spark: SparkSession, path: str, multi_line: bool = True, file_name: bool = False
 ) -> DataFrame:
     """The register file(s) under ``path`` as text columns with table names.
 
-    A scan that allows line breaks in values reads each file in one task. Left
-    at None, ``multi_line`` is set only if a value needs it, so that one large
-    file of plain lines is still read in splits.
+    A scan that allows line breaks in values reads each file in one task, which
+    suits fragments. Set ``multi_line`` to False to read one large file of plain
+    lines in splits. A record with more or fewer fields than the file has columns
+    fails a scan of all columns; one of a few columns, or a count, takes it as it is.
     """
-    if multi_line is None:
-        multi_line = values_span_lines(spark, path)
     raw = (
         spark.read.schema(FILE_SCHEMA)
         .options(**READ_OPTIONS)
+        .option("mode", "FAILFAST")
         .option("multiLine", multi_line)
         .csv(path)
     )
@@ -59,7 +49,7 @@ def scan_register(
 
 
 def scan_code_columns(
-    spark: SparkSession, path: str, multi_line: bool | None = None
+    spark: SparkSession, path: str, multi_line: bool = True
 ) -> DataFrame:
     """Only the code texts and the status; the parser skips the other columns."""
     return scan_register(spark, path, multi_line).select(*CODE_TEXTS, "company_status")
@@ -93,7 +83,7 @@ def export_fragments(
 
 
 def file_row_counts(
-    spark: SparkSession, path: str, multi_line: bool | None = None
+    spark: SparkSession, path: str, multi_line: bool = True
 ) -> DataFrame:
     """Records per file."""
     return (

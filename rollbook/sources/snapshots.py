@@ -51,7 +51,9 @@ class Snapshots:
         if self._entries is None:
             try:
                 self._entries = self.spark.read.schema(LOG_SCHEMA).parquet(self._log).collect()
-            except AnalysisException:
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
                 self._entries = []
         return self._entries
 

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollbook.operators.merge import fits_broadcast, latest_per_key, measure
 from rollbook.operators.registers import KEY, empty_register, upsert_register
-from rollbook.sources.register import READ_OPTIONS
+from rollbook.sources.register import READ_OPTIONS, land
 from rollbook.sources.schema import FILE_SCHEMA, REGISTER_NAMES
 from rollbook.sources.snapshots import Snapshots
 
 REGISTER = "register"
 REJECTS = "register_rejects"
+#: The text of a record that has more or fewer fields than the file has columns.
+MALFORMED = "malformed"
+#: Of several records of one company the last of these is taken.
+ORDER = ("file_time", "file_name", "file_block_start", "record")
 
 
 def stream_fragments(
@@ -25,13 +30,15 @@ def stream_fragments(
     archive: str | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """New CSV files of ``folder`` as a stream with table names and ``file_name``.
+    """New CSV files of ``folder`` as a stream with table names and the place in the file.
 
     ``clean_source`` may be ``delete`` or ``archive`` to clear handled files.
     """
     reader = (
-        spark.readStream.schema(FILE_SCHEMA)
+        spark.readStream.schema(T.StructType([*FILE_SCHEMA.fields, T.StructField(MALFORMED, T.StringType())]))
         .options(**READ_OPTIONS)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .option("multiLine", multi_line)
         .option("cleanSource", clean_source)
     )
@@ -40,9 +47,8 @@ def stream_fragments(
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
     raw = reader.csv(folder)
-    return raw.select("*", "_metadata.file_modification_time", "_metadata.file_name").toDF(
-        *REGISTER_NAMES, "file_time", "file_name"
-    )
+    place = ["_metadata.file_modification_time", "_metadata.file_name", "_metadata.file_block_start"]
+    return raw.select("*", *place).toDF(*REGISTER_NAMES, MALFORMED, *ORDER[:3])
 
 
 def ingest_fragments(
@@ -61,39 +67,37 @@ def ingest_fragments(
 
     Each batch writes the register anew, so few large batches cost less than
     many small ones: leave ``files_per_batch`` open unless memory or a wish for
-    early results says otherwise. The result does not depend on it: within a
-    batch, the newest file wins for a company that occurs twice.
+    early results says otherwise. The result does not depend on it: for a company
+    that occurs twice, the newest file wins, and within a file the last record.
+
+    A batch is parsed once, into a landing folder beside the tables, and merged
+    from there. The checkpoint remembers handled files; its identity and the batch
+    number name the version, so a batch that is played again after a failure
+    changes nothing, and a new checkpoint never passes for one that is done.
 
-    The checkpoint remembers handled files, and the batch number names the
-    version, so a batch that is played again after a failure changes nothing.
-    A batch that is measured to be small is broadcast, which leaves the register
-    unshuffled; a bucketed register stays unshuffled with any batch. Records without a company number go to ``register_rejects``, one
-    version per batch that has any.
+    Records without a company number, and malformed ones (more or fewer fields than
+    columns) with their text, go to ``register_rejects``, one version per batch that
+    has any; they never touch the register.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        name = f"{run}/{number}"
+        stream = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+        name = f"{run}/{json.loads(stream)['id']}/{number}"
         if store.finished(REGISTER, name):
             return
-        size = measure(batch, [KEY])
-        if size.keyless:
-            store.write(REJECTS, batch.filter(F.col(KEY).isNull()), name)
-        small = fits_broadcast(size) and not store.bucketed(REGISTER)
-        keyed = batch.filter(F.col(KEY).isNotNull())
-        latest = latest_per_key(keyed, [KEY], ("file_time", "file_name"))
-        if small:
-            latest.persist()
+        landed = land(batch.withColumn(ORDER[3], F.monotonically_increasing_id()), f"{store.root}/_landing")
+        bad = F.col(KEY).isNull() | F.col(MALFORMED).isNotNull()
+        rejects = landed.filter(bad)
+        if not rejects.isEmpty():
+            store.write(REJECTS, rejects, name)
         merged = upsert_register(
             store.read(REGISTER, empty_register(spark)),
-            latest,
+            landed.filter(~bad).drop(MALFORMED),
             as_of,
             source=F.col("file_name"),
-            unique=True,
-            small=small,
+            order=ORDER,
         )
-        store.write(REGISTER, merged.next, name, clustered=not small)
-        if small:
-            latest.unpersist()
+        store.write(REGISTER, merged.next, name, clustered=True)
 
     query = (
         stream_fragments(spark, folder, files_per_batch, clean_source, archive, multi_line)

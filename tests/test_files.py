@@ -34,7 +34,6 @@ SPANNING = [
 
 def test_values_survive(spark, tmp_path):
     write_file(tmp_path / "a.csv", SPANNING)
-    assert files.values_span_lines(spark, str(tmp_path))
     found = {row.company_number: row for row in files.scan_register(spark, str(tmp_path)).collect()}
     assert found["00000007"].company_name == "TWO\nLINES"
     assert found["00000007"].reg_address_line1 == " padded "
@@ -46,15 +45,24 @@ def test_values_survive(spark, tmp_path):
 
 def test_plain_lines_are_read_in_splits(spark, tmp_path):
     write_file(tmp_path / "a.csv", PLAIN * 500)
-    assert not files.values_span_lines(spark, str(tmp_path))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
     try:
-        assert files.scan_register(spark, str(tmp_path)).rdd.getNumPartitions() > 1
-        assert files.scan_register(spark, str(tmp_path)).count() == 1000
+        scan = files.scan_register(spark, str(tmp_path), multi_line=False)
+        assert scan.rdd.getNumPartitions() > 1
+        assert scan.count() == 1000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("change", [lambda line: line + ',"more"', lambda line: line.rsplit(",", 1)[0]])
+def test_malformed_record_fails_a_full_scan(spark, tmp_path, change):
+    write_file(tmp_path / "a.csv", PLAIN)
+    lines = (tmp_path / "a.csv").read_text().splitlines()
+    (tmp_path / "a.csv").write_text("\n".join([*lines[:-1], change(lines[-1])]) + "\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        files.scan_register(spark, str(tmp_path)).collect()
+
+
 def test_other_columns_are_refused(spark, tmp_path):
     header = ["Wrong"] + FILE_HEADER[1:]
     write_file(tmp_path / "a.csv", PLAIN, header)

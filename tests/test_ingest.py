@@ -67,10 +67,34 @@ def test_files_one_by_one_or_at_once(spark, tmp_path, folder):
     assert [row.company_name for row in store.read("register_rejects").collect()] == ["NO KEY"]
 
 
-def test_shuffled_merge_gives_the_same(spark, tmp_path, folder, monkeypatch):
-    monkeypatch.setattr(ingest, "fits_broadcast", lambda size: False)
-    _, register = run(spark, tmp_path, folder, "shuffled", files_per_batch=1)
-    assert names(register) == FINAL
+def test_malformed_records_are_rejects(spark, tmp_path, folder):
+    run(spark, tmp_path, folder, "malformed")
+    arrive(folder, "part_4.csv", [company("01", "LONG"), company("02", "SHORT"), company("09", "GOOD")], 4)
+    header, long, short, good = (folder / "part_4.csv").read_text().splitlines()
+    (folder / "part_4.csv").write_text("\n".join([header, long + ',"more"', short.rsplit(",", 3)[0], good]) + "\n")
+    store, register = run(spark, tmp_path, folder, "malformed")
+    assert names(register) == FINAL | {"09": "GOOD"}
+    rejects = store.read("register_rejects").collect()
+    assert {row.file_name for row in rejects} == {"part_4.csv"}
+    assert {name for name in ("LONG", "SHORT") if any(name in row.malformed for row in rejects)} == {"LONG", "SHORT"}
+
+
+def test_new_checkpoint_under_a_used_run_name(spark, tmp_path, folder):
+    store, _ = run(spark, tmp_path, folder, "first")
+    other = tmp_path / "other"
+    other.mkdir()
+    arrive(other, "part_1.csv", [company("77", "NEW")], 5)
+    _, register = run(spark, tmp_path, other, "second", store)
+    assert names(register) == FINAL | {"77": "NEW"}
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_last_record_of_a_file_wins(spark, tmp_path, multi_line):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    arrive(folder, "part_1.csv", [company("01", "ZZ first"), *[company(str(n), "x") for n in range(2, 9)], company("01", "AA last")], 1)
+    _, register = run(spark, tmp_path, folder, "last", multi_line=multi_line)
+    assert names(register)["01"] == "AA last"
 
 
 def test_bucketed_register(spark, tmp_path, folder):

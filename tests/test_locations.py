@@ -118,6 +118,16 @@ def test_latest_head_office_only(spark):
     assert ranks == {1: 2, 2: 1, 8: 1}
 
 
+def test_rows_without_id_stay_beside_offices_without_organisation(spark):
+    geo = geo_of(
+        spark,
+        (None, "UK1", "a", "BRANCH", "UK"), (None, "UK2", "b", "BRANCH", "UK"),
+        (3, None, "c", "HEAD_OFFICE", "UK"), (4, None, "d", "HEAD_OFFICE", "UK"),
+    )
+    kept = [(row.id, row.organisation_id) for row in locations.keep_latest_head_office(geo).collect()]
+    assert sorted(kept, key=str) == sorted([(None, "UK1"), (None, "UK2"), (4, None)], key=str)
+
+
 def test_old_address_that_returns_is_dropped(spark):
     """The highest id stays, though the file names the older address again."""
     geo = geo_of(spark, (1, "UK1", "A1 1AA", "HEAD_OFFICE", "UK"), (2, "UK1", "B1 1AA", "HEAD_OFFICE", "UK"))

@@ -7,7 +7,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators.merge import fits_broadcast, latest_per_key, measure, upsert
+from rollbook.operators.merge import latest_per_key, upsert
 
 TARGET = "k string, a string, b int, note string"
 
@@ -50,39 +50,15 @@ EXPECTED = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"small": True}])
-def test_upsert(target, batch, options):
-    merged = merge(target, batch, **options)
+def test_upsert(target, batch):
+    merged = merge(target, batch)
     assert rows(merged.next) == sorted(EXPECTED, key=str)
     assert rows(merged.rejects) == [(None, "lost", 40)]
     assert merged.next.dtypes == target.dtypes
 
 
-def test_small_batch_leaves_the_target_unshuffled(spark, target, batch):
-    def plan(frame):
-        return frame._jdf.queryExecution().executedPlan().toString()
-
-    assert "SortMergeJoin" in plan(merge(target, batch).next) or "ShuffledHashJoin" in plan(
-        merge(target, batch).next
-    )
-    small = plan(merge(target, batch, small=True).next)
-    assert "BroadcastHashJoin" in small
-    assert "SortMergeJoin" not in small
-
-
-def test_broadcast_needs_rows_and_characters_in_bounds(spark):
-    frame = spark.createDataFrame([("abc", None), ("de", 7), (None, 8)], "a string, b int")
-    size = measure(frame, ["a"])
-    assert (size.rows, size.characters, size.keyless) == (3, 7, 1)
-    assert fits_broadcast(size, 3, 7)
-    assert not fits_broadcast(size, 2, 7)
-    assert not fits_broadcast(size, 3, 6)
-    assert fits_broadcast(measure(frame.limit(0), ["a"]), 0, 0)
-
-
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("small", [False, True])
-def test_random_batches_against_dictionaries(spark, seed, small):
+def test_random_batches_against_dictionaries(spark, seed):
     random = Random(seed)
     schema = "k string, a int, b string"
     known = {f"k{n}": (f"k{n}", random.choice([None, n]), "seed") for n in random.sample(range(40), 25)}
@@ -104,7 +80,6 @@ def test_random_batches_against_dictionaries(spark, seed, small):
         ["k"],
         overwrite=["a"],
         on_match={"b": F.lit("seed+")},
-        small=small,
     )
     assert rows(merged.next.drop("old")) == sorted(expected.values(), key=str)
     assert merged.rejects.count() == sum(k is None for k, _, _ in batch)
