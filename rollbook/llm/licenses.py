@@ -6,8 +6,8 @@ template, normalised alike, as sets of neighbouring words:
 ``2 * common / (size + size)``. A template of ``s`` bigrams can only reach ``t`` with
 segments of ``s * t / (2 - t)`` to ``s * (2 - t) / t`` bigrams. These bounds prune
 segments before their bigrams are made and pairs before they are counted. They also say
-how many bigrams must be shared: texts and segments that hold none of a few ``anchors``
-of each template cannot match and are left out by plain byte searches. Templates
+how many bigrams must be shared: texts and segments that hold none of a few words, the
+``anchors``, cannot match and are left out by plain byte searches. Templates
 meet segments through an index of bigrams, which is broadcast: its size is that of
 the template list.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -72,19 +73,33 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
 
 
 def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
-    """Bigrams of which every matching segment holds at least one.
+    """Words of which every matching segment holds at least one.
 
     A segment that reaches the threshold shares ``c`` of a template's ``s`` bigrams at
-    least, so it cannot miss all of any ``s - c + 1``. The longest are taken, as they
-    are seldom found elsewhere.
+    least, so it cannot miss all of any ``s - c + 1``. Words are taken until they lie in
+    so many bigrams of each template: always the one in most bigrams still wanted, first
+    of those of six letters and more, which are seldom found elsewhere.
     """
-    found = set()
+    open_grams, wanted, found = [], [], []
     for _, text in templates:
-        grams = bigram_set(text)
+        if not (grams := bigram_set(text)):
+            continue
         low, _ = size_bounds(len(grams), threshold)
         shared = math.ceil((low + len(grams)) * threshold / 2 - 1e-9)
-        found.update(sorted(grams, key=lambda gram: (-len(gram), gram))[: len(grams) - shared + 1])
-    return sorted(found)
+        open_grams.append([gram.split() for gram in grams])
+        wanted.append(len(grams) - shared + 1)
+    while any(n > 0 for n in wanted):
+        gain = Counter()
+        for grams, n in zip(open_grams, wanted, strict=True):
+            inside = Counter(word for gram in grams for word in set(gram))
+            gain.update({word: min(count, n) for word, count in inside.items() if n > 0})
+        best = max(gain, key=lambda word: (len(word) >= 6, gain[word], word))
+        found.append(best)
+        for i, grams in enumerate(open_grams):
+            left = [gram for gram in grams if best not in gram]
+            wanted[i] -= len(grams) - len(left)
+            open_grams[i] = left
+    return sorted(word for word in found if not any(other != word and other in word for other in found))
 
 
 def _holds_any(text: Column, parts: list[str]) -> Column:
