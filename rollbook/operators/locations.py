@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions import columns as c
@@ -182,15 +182,17 @@ def head_office_rank(locations: DataFrame) -> DataFrame:
 def keep_latest_head_office(locations: DataFrame) -> DataFrame:
     """Drop every home head office but the one with the highest id per organisation.
 
-    Home offices without an organisation are one group, as in ``head_office_rank``.
-    Only (id, organisation_id) of the offices is grouped, within tasks first; the
-    rows to drop are found by id, and rows that are no home offices are not touched.
+    Other rows form groups by their id, apart from the offices, so one window serves
+    the whole table and all of them have rank 1, also those without an id. Spark cuts
+    each task's groups to rank 1 before the shuffle; the size of a group of offices
+    does not matter.
     """
-    offices = locations.filter(is_home_head_office())
-    newest = offices.groupBy("organisation_id").agg(F.max("id").alias("__newest"))
-    kept = newest.select(F.col("__newest").alias("id"))
+    office = is_home_head_office()
+    newest = Window.partitionBy(
+        office, F.when(office, F.col("organisation_id")), F.when(~office, F.col("id"))
+    ).orderBy(F.desc("id"))
     return (
-        offices.join(kept, "id", "left_semi")
-        .select(*locations.columns)
-        .unionByName(locations.filter(~is_home_head_office()))
+        locations.withColumn("__rank", F.rank().over(newest))
+        .filter(F.col("__rank") == 1)
+        .drop("__rank")
     )
