@@ -5,7 +5,8 @@ distinct vector of the table is then put into its leaf. A query walks the tree
 with a priority queue of nodes by distance to their centres and visits leaves in
 that order. How many leaves it visits is calibrated: for a sample of queries the
 true neighbours are found by brute force, and the visits are widened until the
-leaves seen hold the wanted share of them.
+leaves seen hold the wanted share of them. A query whose leaves hold too few rows to
+answer it with ``k`` walks on until they do.
 
 Equal vectors are searched once: of each only the ``k`` + 1 smallest ids can be
 among the ``k`` nearest, ties going to the smaller id, and so no more are kept. A
@@ -198,28 +199,68 @@ def _calibrate(indexed: DataFrame, queries: DataFrame, tree: Tree, k: int, targe
     return ranks[min(len(ranks) - 1, int(np.ceil(target * len(ranks))) - 1)]
 
 
-def _visits(queries: DataFrame, tree: Tree, visits: int) -> DataFrame:
-    sent = queries.sparkSession.sparkContext.broadcast(tree)
+def _held(indexed: DataFrame) -> dict[int, int]:
+    """Rows per leaf that count for any query: of ids with several vectors, all but the one with most of them there."""
+    rows = indexed.select("leaf", F.explode("ids").alias("id")).groupBy("id", "leaf").agg(F.count(F.lit(1)).alias("rows"))
+    rows = write_scratch(rows, "leaf_ids")
+    repeated = rows.groupBy("id").agg(F.sum("rows").alias("n")).where("n > 1").select("id")
+    most = rows.join(repeated, "id", "left_semi").groupBy("leaf").agg(F.max("rows").alias("most"))
+    counted = rows.groupBy("leaf").agg(F.sum("rows").alias("rows")).join(most, "leaf", "left")
+    return {r["leaf"]: r["rows"] - (r["most"] or 0) for r in counted.collect()}
+
+
+def _path(tree: Tree, query: np.ndarray, visits: int, held: dict[int, int], least: int) -> list[int]:
+    """The leaves a query visits: so many, and on until they hold ``least`` rows."""
+    path, rows = [], 0
+    for leaf in tree.leaves(query):
+        if len(path) >= visits and rows >= least:
+            break
+        path.append(leaf)
+        rows += held.get(leaf, 0)
+    return path
+
+
+def _visits(queries: DataFrame, tree: Tree, visits: int, held: dict[int, int], least: int) -> DataFrame:
+    sent = queries.sparkSession.sparkContext.broadcast((tree, held))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                found = [[leaf for _, leaf in zip(range(visits), sent.value.leaves(q), strict=False)] for q in _matrix(part.column("vec"))]
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("vec"), pa.array(found, pa.list_(pa.int32()))], ["key", "vec", "leaf"])
+                found = [_path(sent.value[0], q, visits, sent.value[1], least) for q in _matrix(part.column("vec"))]
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("vec"), pa.array(found, pa.list_(pa.int32()))], ["key", "vec", "leaves"])
+
+    return queries.select("key", "vec").mapInArrow(task, "key string, vec array<double>, leaves array<int>")
+
 
-    return queries.select("key", "vec").mapInArrow(task, "key string, vec array<double>, leaf array<int>").withColumn("leaf", F.explode("leaf"))
+def _needed(rows: list[tuple[float, int]], k: int) -> tuple[list[tuple[float, int]], bool]:
+    """The first rows that hold ``k`` of other ids whichever id asks, ``k`` of one id at most; and whether they do."""
+    out: list[tuple[float, int]] = []
+    of_id: dict[int, int] = {}
+    most = 0
+    for row in rows:
+        if len(out) - most >= k:
+            break
+        if of_id.get(row[1], 0) < k:
+            out.append(row)
+            of_id[row[1]] = of_id.get(row[1], 0) + 1
+            most = max(most, of_id[row[1]])
+    return out, len(out) - most >= k
 
 
-def _compare(left: pa.Table, right: pa.Table, keep: int) -> pa.Table:
+def _compare(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     """The nearest vectors of one block of a leaf to one block of its queries, an id a row."""
     vectors, queries = _matrix(left.column("vec").combine_chunks()), _matrix(right.column("vec").combine_chunks())
     ids, keys = left.column("ids").to_pylist(), right.column("key").to_pylist()
     out: list[tuple[str, int, float]] = []
     if len(vectors) and len(queries):
-        for q, near, distance in _closest(queries, vectors, keep):
-            found = sorted((d, i) for v, d in zip(near.tolist(), distance.tolist(), strict=True) for i in ids[v])
-            out += [(keys[q], i, d) for d, i in found[:keep]]
+        for q, near, distance in _closest(queries, vectors, k + 1):
+            found, enough = _needed(sorted((d, i) for v, d in zip(near.tolist(), distance.tolist(), strict=True) for i in ids[v]), k)
+            if not enough and len(near) < len(vectors):
+                # Many vectors of one id are in front.
+                _, near, distance = next(_closest(queries[q : q + 1], vectors, len(vectors)))
+                found, _ = _needed(sorted((d, i) for v, d in zip(near.tolist(), distance.tolist(), strict=True) for i in ids[v]), k)
+            out += [(keys[q], i, d) for d, i in found]
     return pa.table({"key": strings([x[0] for x in out]), "id": pa.array([x[1] for x in out], pa.int64()), "score": pa.array([x[2] for x in out], pa.float64())})
 
 
@@ -251,7 +292,8 @@ def nearest(rows: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector:
     indexed = write_scratch(_with_leaf(plain, tree), "leaves")
     queries = write_scratch(indexed.join(asked.select("key").distinct(), "key", "left_semi").select("key", "vec"), "queries")
     visits = _calibrate(indexed, queries, tree, k, target, seed + 1)
-    visited = _visits(queries, tree, visits)
+    paths = write_scratch(_visits(queries, tree, visits, _held(indexed), k + 1), "paths")
+    visited = paths.select("key", "vec", F.explode("leaves").alias("leaf"))
     vector_blocks = _block_count(_counts(indexed), BLOCK_VECTORS)
     query_blocks = _block_count(_counts(visited), BLOCK_QUERIES)
 
@@ -266,10 +308,14 @@ def nearest(rows: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector:
     near = (
         left.groupBy(*by)
         .cogroup(right.groupBy(*by))
-        .applyInArrow(lambda a, b: _compare(a, b, k + 1), "key string, id long, score double")
+        .applyInArrow(lambda a, b: _compare(a, b, k), "key string, id long, score double")
     )
+    # As in a block: a row is needed if less than k of the rows before it are of other ids than the asking one.
     best = Window.partitionBy("key").orderBy("score", "id")
-    near = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
+    near = near.withColumn("n", F.row_number().over(best)).withColumn("of_id", F.row_number().over(Window.partitionBy("key", "id").orderBy("score")))
+    most = F.coalesce(F.max("of_id").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = near.withColumn("others", F.col("n") - 1 - most).where((F.col("others") < k) & (F.col("of_id") <= k)).drop("n", "of_id", "others")
+    near = near.join(paths.select("key", F.size("leaves").alias("leaves_visited")), "key")
     order = Window.partitionBy("query_id", "key").orderBy("score", "id")
     return (
         asked.withColumnRenamed("id", "query_id")
@@ -277,5 +323,5 @@ def nearest(rows: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector:
         .where(F.col("id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(key), "score", F.lit(visits).alias("leaves_visited"))
+        .select("query_id", "rank", F.col("id").alias(key), "score", "leaves_visited")
     )

@@ -64,3 +64,27 @@ def test_best_bin_first_visits_every_leaf_once():
     order = list(tree.leaves(vectors[0]))
     assert len(order) == len(set(order)) == int((tree.size == 0).sum())
     assert set(tree.assign(vectors).tolist()) <= set(order)
+
+
+def test_outliers_among_tight_clusters(spark, monkeypatch):
+    """One leaf is enough for the sampled queries; an isolated vector still gets its ten."""
+    monkeypatch.setattr(ann, "_calibrate", lambda *_: 1)
+    rng = np.random.default_rng(5)
+    rows = [(1 + 100 * g + i, c + rng.normal(size=6) * 1e-6) for g, c in enumerate(rng.normal(size=(60, 6)) * 100) for i in range(16)]
+    rows = [(100 * n if i % 100 == 1 else i, v) for n, (i, v) in enumerate(rows)]
+    outliers = [1_000_000 + 100 * i for i in range(4)]
+    rows += [(i, v) for i, v in zip(outliers, rng.normal(size=(4, 6)) * 100_000, strict=True)]
+    rows = [(i, v.tolist()) for i, v in rows]
+    found = ann.nearest(table(spark, rows), lambda key: key % 100 == 0).collect()
+    count = {}
+    for r in found:
+        count[r["query_id"]] = count.get(r["query_id"], 0) + 1
+    assert count == {i: 10 for i, _ in rows if i % 100 == 0}
+    assert min(r["leaves_visited"] for r in found) < max(r["leaves_visited"] for r in found)
+
+
+def test_an_id_with_many_vectors_gets_others(spark):
+    rng = np.random.default_rng(6)
+    rows = [(100, (rng.normal(size=4) * 1e-3 + 5).tolist()) for _ in range(300)] + [(i, (rng.normal(size=4) * 50).tolist()) for i in range(1, 90)]
+    found = ann.nearest(table(spark, rows), lambda key: key == 100).collect()
+    assert len(found) == 300 * 10 and all(r["vec_id"] != 100 for r in found)
