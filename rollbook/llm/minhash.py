@@ -7,7 +7,7 @@ the samples that differ. For high similarities this estimate is sharp; candidate
 that are clearly below the threshold go, and the rest are confirmed on full sets.
 The sketch's threshold lies ``SLACK`` standard errors below the wanted similarity.
 
-Equal sets are one class, named by its smallest doc_id. A band's bucket is not compared
+Equal sets are one class with a number of its own. A band's bucket is not compared
 all with all. First, its members meet the one that shares most buckets with others.
 Of buckets that then hold several components, the members' own shingles are counted:
 those that no other member of such a bucket has, and that therefore cannot be common.
@@ -23,7 +23,7 @@ around one passage, writes rows in proportion to its size. A pair at the thresho
 Defined cases: a null or empty text, or one without words, has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle; rows with
 one doc_id and different texts are compared each for itself; a null doc_id takes no part and gets a null component and
-kept = false; an empty table gives no rows. Other columns are ignored.
+kept = false (``near_groups`` compares these rows as well); an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import RollingHash, checked_broadcast, mix, pieces, spaced_bytes, word_spans, write_scratch
@@ -45,6 +45,8 @@ SLACK = 5.0
 BROADCAST_IDS = 1_000_000
 #: Members of a family that one task compares with as many others at once.
 BLOCK = 1_024
+#: Rows that agree in these have equal sets.
+SAME = ["first", "second", "n_shingles"]
 #: A shingle is named by so many bits of its hash, which leaves room for the row.
 NAME_BITS = 50
 
@@ -137,14 +139,20 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                     bands[full, b] = key.view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(first), pa.array(second),
+                    batch.column("doc_id"), batch.column("mark"), pa.array(size.astype(np.int64)), pa.array(first), pa.array(second),
                     _lists(bands), _lists(sketch),
                 ],
-                ["doc_id", "n_shingles", "first", "second", "bands", "sketch"],
+                ["doc_id", "mark", "n_shingles", "first", "second", "bands", "sketch"],
             )
 
-    kind = "doc_id long, n_shingles long, first long, second long, bands array<long>, sketch array<long>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task, kind)
+    kind = "doc_id long, mark long, n_shingles long, first long, second long, bands array<long>, sketch array<long>"
+    return _texts(docs).mapInArrow(task, kind)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, mark): a row is named by its id and the mark of its text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.withColumn("mark", F.xxhash64("text"))
 
 
 def _lists(matrix: np.ndarray) -> pa.Array:
@@ -152,17 +160,25 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(matrix.ravel()))
 
 
+def same_row(one: DataFrame, other: DataFrame) -> Column:
+    """Whether two rows have one id, or none, and one text."""
+    return one["doc_id"].eqNullSafe(other["doc_id"]) & (one["mark"] == other["mark"])
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The full sets of the documents that some candidate pair names."""
+    """The full sets of the classes (node, doc_id, mark), by the rows that these name."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _row_pieces(batches):
             row, names = shingles(batch.column("text"), width)
             offsets = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(names))], ["node", "names"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(names))], ["node", "names"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(checked_broadcast(wanted, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(task, "node long, names array<long>")
+    texts = _texts(docs)
+    named = texts.join(checked_broadcast(wanted, BROADCAST_IDS), same_row(texts, wanted)).select("node", "text")
+    sets = write_scratch(named.mapInArrow(task, "node long, names array<long>"), "sets")
+    # A repeated row gives its set again.
+    return sets if sets.count() == wanted.count() else write_scratch(sets.dropDuplicates(["node"]), "sets")
 
 
 class _Search:
@@ -172,8 +188,8 @@ class _Search:
         self.percent = percent
         self.limit = most_differing_bits(percent / 100)
         self.nodes = classes.select("node", "n_shingles", "sketch")
-        wanted = write_scratch(members.select(F.col("node").alias("doc_id")).distinct(), "nodes")
-        self.sets = write_scratch(_sets(docs, wanted, width), "sets")
+        wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "row.doc_id", "row.mark")
+        self.sets = _sets(docs, write_scratch(wanted, "nodes"), width)
         self.links: DataFrame | None = None
 
     def _sides(self, pairs: DataFrame, table: DataFrame) -> DataFrame:
@@ -216,7 +232,7 @@ class _Search:
         names = self.names_of(members)
         alone = names.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
         counts = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-        sizes = self.nodes.groupBy("node").agg(F.max("n_shingles").alias("size")).join(nodes, "node", "left_semi")
+        sizes = self.nodes.select("node", F.col("n_shingles").alias("size")).join(nodes, "node", "left_semi")
         own = F.coalesce("own", F.lit(0))
         return sizes.join(counts, "node", "left").select("node", (F.col("size") - own).alias("shared"), own.alias("own"))
 
@@ -315,19 +331,38 @@ def _found(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     return search.add(_all_across(members, search.names_of(members), percent))
 
 
+def _grouped(docs: DataFrame, width: int, percent: int, part: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows with their set; the classes of those that take part; (node, component) of the linked classes."""
+    signed = write_scratch(_signatures(docs, width), "signatures")
+    classes = signed.where(part).where("n_shingles > 0").groupBy(*SAME).agg(
+        F.min(F.struct("doc_id", "mark")).alias("row"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    )
+    # The numbers are read from the written table only, so a repeated task cannot change them.
+    classes = write_scratch(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    return signed, classes, _found(docs, classes, width, percent)
+
+
+def near_groups(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
+    """(doc_id, mark, component) for every row of ``docs``, those without an id too.
+
+    ``mark`` is xxhash64 of the text; ``component`` is a number that means nothing
+    else, and null for texts without words.
+    """
+    signed, classes, found = _grouped(docs, width, percent, "true")
+    of_class = classes.join(found, "node", "left").select(*SAME, F.coalesce("component", "node").alias("component"))
+    return signed.select("doc_id", "mark", *SAME).join(of_class, SAME, "left").select("doc_id", "mark", "component")
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
     Linked are documents with ``100 * common >= percent * all`` of their shingles.
     """
-    signed = write_scratch(_signatures(docs, width), "signatures")
-    same = ["first", "second", "n_shingles"]
-    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(
-        F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
-    )
-    classes = write_scratch(classes, "classes")
-    found = _found(docs, classes, width, percent)
-    of_class = classes.join(found, "node", "left").select(*same, "node", F.coalesce("component", "node").alias("component"))
-    linked = signed.select("doc_id", *same).join(of_class, same, "left")
+    signed, classes, found = _grouped(docs, width, percent, "doc_id IS NOT NULL")
+    ids = classes.select("node", F.col("row.doc_id").alias("least"))
+    least = write_scratch(found.join(ids, "node").groupBy("component").agg(F.min("least").alias("label")), "labels")
+    found = found.join(checked_broadcast(least, BROADCAST_IDS), "component").select("node", "label")
+    of_class = classes.join(found, "node", "left").select(*SAME, F.coalesce("label", "row.doc_id").alias("component"))
+    linked = signed.select("doc_id", *SAME).join(of_class, SAME, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))

@@ -70,6 +70,18 @@ def test_blocks_of_a_family(spark, monkeypatch):
     assert found == {i: c for i, (_, c) in brute(rows, 4, 80).items()}
 
 
+def test_one_id_with_several_texts(spark, monkeypatch):
+    """The bounds of an id's texts do not depend on the other texts under that id; no leader finds the links before."""
+    monkeypatch.setattr(minhash, "_leader_pairs", lambda members, order: members.selectExpr("node AS a", "node AS b").where("false"))
+    rows = near_family(12)
+    extra = [(i, " ".join(f"u{i}x{k}" for k in range(140))) for i in range(12)]
+    extra += [(i, f"{t} v{i}") for i, t in extra]
+    docs = spark.createDataFrame([*enumerate(rows), *extra, *extra[:3]], "doc_id long, text string").repartition(3)
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs).collect()]
+    assert len(found) == 39
+    assert all((i, n, c) in found for i, (n, c) in brute(rows, 4, 80).items())
+
+
 def test_empty(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
     rows = minhash.near_duplicates(documents(spark, [None, "", " "])).where("doc_id IS NOT NULL").collect()
