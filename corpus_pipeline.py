@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import bpe, decontaminate, minhash, suffix_dedup, toxicity
-from rollbook.llm.common import write_scratch
+from rollbook.llm.common import checked_broadcast, write_scratch
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -35,13 +35,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (five words, similarity 0.8): the one with the smallest id.
 
-    Of several rows with that id one stays; rows without an id are no copies of anything.
+    A row is named by its id and its text: unlike texts under one id all stay, of rows equal
+    in both one stays. Rows without an id are no copies of anything.
     """
-    docs = _rows_of(docs)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
-    dropped = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    docs = _rows_of(docs).withColumn("mark", F.xxhash64("text"))
+    named = docs.where(F.col("doc_id").isNotNull())
+    found = minhash.near_groups(named.select("doc_id", "text"), width=5, percent=80).where("component IS NOT NULL")
+    found = write_scratch(found.select("component", F.struct("doc_id", "mark").alias("row")), "near_rows")
+    first = found.groupBy("component").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = checked_broadcast(write_scratch(first.drop("n"), "near_first"), minhash.BROADCAST_IDS)
+    dropped = found.join(first, "component").where(F.col("row") != F.col("first")).select("row.doc_id", "row.mark").distinct()
+    dropped = checked_broadcast(write_scratch(dropped, "near_dropped"), minhash.BROADCAST_IDS)
+    kept = named.join(dropped, ["doc_id", "mark"], "left_anti")
+    # The least of the other columns, so that a repeated task keeps the same row.
+    kept = kept.groupBy("doc_id", "mark").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")).select("doc_id", "row.*")
+    return kept.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +65,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out the documents with a window that matches a benchmark item."""
-    docs = _rows_of(docs)
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Leave out the rows, by id and text, with a window that matches a benchmark item."""
+    docs = _rows_of(docs).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = decontaminate.contaminated_texts(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found, ["doc_id", "mark"], "left_anti").select(*COLUMNS)
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,11 +124,8 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     return found.select("doc", "mark", "n_words", F.explode(F.col("starts")).alias("start"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start, n_words, common, either, similarity) of the documents' best windows.
-
-    ``start`` counts words from 0; ``similarity`` is ``common / either``.
-    """
+def _matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The windows that match an item, with the document (doc, mark) and the item."""
     items = write_scratch(_items(benchmark), "items")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # Rows are named by their id and their text; a null id is a name as well.
@@ -138,8 +135,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lists = windows.join(F.broadcast(sized), "n_words").groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n_words", "size")).alias("windows"))
     texts = docs.join(checked_broadcast(write_scratch(lists.select("doc", "mark").distinct(), "marked"), BROADCAST_ROWS), ["doc", "mark"], "left_semi")
     cut = texts.dropDuplicates(["doc", "mark"]).join(lists, ["doc", "mark"])
-    cut = _hashed(cut, "hashes").select("doc", F.explode_outer("windows").alias("w"), "hashes")
-    cut = cut.select("doc", F.col("w.start").alias("start"), F.col("w.n_words").alias("n_words"), F.slice("hashes", F.col("w.start") + 1, F.col("w.size")).alias("window"))
+    cut = _hashed(cut, "hashes").select("doc", "mark", F.explode_outer("windows").alias("w"), "hashes")
+    cut = cut.select("doc", "mark", F.col("w.start").alias("start"), F.col("w.n_words").alias("n_words"), F.slice("hashes", F.col("w.start") + 1, F.col("w.size")).alias("window"))
     cut = write_scratch(cut, "window_shingles").withColumn("print", simhash(F.col("window")))
     cut = write_scratch(cut, "prints")
     left = cut.withColumn("block", F.explode_outer(_blocks(F.col("print"))))
@@ -150,7 +147,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first = F.array_min(F.transform(F.filter(_blocks(xor), lambda b: b["value"] == 0), lambda b: b["number"]))
     near = near.where(first == F.col("block.number"))
     scored = near.withColumn("common", _common(F.col("window"), F.col("item")))
-    scored = scored.withColumn("either", F.size("window") + F.size("item") - F.col("common")).where(100 * F.col("common") >= PERCENT * F.col("either"))
+    return scored.withColumn("either", F.size("window") + F.size("item") - F.col("common")).where(100 * F.col("common") >= PERCENT * F.col("either"))
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, mark) of the rows with a match; ``mark`` is xxhash64 of the text, of an empty one for a null."""
+    return _matches(docs, benchmark).select("doc.doc_id", "mark").distinct()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, start, n_words, common, either, similarity) of the documents' best windows.
+
+    ``start`` counts words from 0; ``similarity`` is ``common / either``.
+    """
+    scored = _matches(docs, benchmark)
     similarity = F.col("common") / F.col("either")
     best = scored.groupBy("doc", "item_id", "n_words").agg(F.min(F.struct((-similarity).alias("order"), "start", "common", "either")).alias("best"))
     return best.select(

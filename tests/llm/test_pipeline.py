@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rollbook.llm import queries
-from tests.llm.fixtures import empty
+from tests.llm.fixtures import empty, sentence
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -56,3 +58,23 @@ def test_odd_rows_go_through(spark):
     assert 0 in left and left[0] is None
     assert 7 not in left and 6 in left
     assert None in left
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def _left(frame):
+    return sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=str)
+
+
+def _item(spark):
+    return spark.read.parquet(f"{SF_DIR}/benchmark.parquet").orderBy("item_id").first()["text"]
+
+
+def test_unlike_texts_under_one_id_are_judged_each(spark):
+    copied, unlike, third = (sentence(random.Random(n), 80) for n in (1, 2, 3))
+    rows = [(3, copied), (7, copied), (7, unlike), (7, unlike), (7, third)]
+    assert _left(corpus_pipeline.drop_near_copies(spark, _rows(spark, rows), SF_DIR)) == sorted([(3, copied), (7, third), (7, unlike)], key=str)
+    rows = [(7, f"{unlike} {_item(spark)} {third}"), (7, unlike), (8, third)]
+    assert _left(corpus_pipeline.drop_contaminated(spark, _rows(spark, rows), SF_DIR)) == sorted(rows[1:], key=str)
