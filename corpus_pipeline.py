@@ -36,20 +36,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keep one document of each group of near copies (five words, similarity 0.8): the one with the smallest id.
 
     A row is named by its id and its text: unlike texts under one id all stay, of rows equal
-    in both one stays. Rows without an id are no copies of anything.
+    in both one stays. Rows without an id are named by their text alone and come after all
+    ids; those of them that have no words either all stay.
     """
     docs = _rows_of(docs).withColumn("mark", F.xxhash64("text"))
-    named = docs.where(F.col("doc_id").isNotNull())
-    found = minhash.near_groups(named.select("doc_id", "text"), width=5, percent=80).where("component IS NOT NULL")
-    found = write_scratch(found.select("component", F.struct("doc_id", "mark").alias("row")), "near_rows")
+    found = minhash.near_groups(docs.select("doc_id", "text"), width=5, percent=80).where("component IS NOT NULL")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark").alias("row")
+    found = write_scratch(found.select("component", row), "near_rows")
     first = found.groupBy("component").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = checked_broadcast(write_scratch(first.drop("n"), "near_first"), minhash.BROADCAST_IDS)
-    dropped = found.join(first, "component").where(F.col("row") != F.col("first")).select("row.doc_id", "row.mark").distinct()
+    dropped = found.join(first, "component").where(~F.col("row").eqNullSafe(F.col("first"))).select("row.doc_id", "row.mark").distinct()
     dropped = checked_broadcast(write_scratch(dropped, "near_dropped"), minhash.BROADCAST_IDS)
-    kept = named.join(dropped, ["doc_id", "mark"], "left_anti")
+    kept = docs.join(dropped, minhash.same_row(docs, dropped), "left_anti")
+    bare = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    bare_rows, kept = kept.where(bare).select(*COLUMNS), kept.where(~bare)
     # The least of the other columns, so that a repeated task keeps the same row.
     kept = kept.groupBy("doc_id", "mark").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")).select("doc_id", "row.*")
-    return kept.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
+    return kept.select(*COLUMNS).unionByName(bare_rows)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +71,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Leave out the rows, by id and text, with a window that matches a benchmark item."""
     docs = _rows_of(docs).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     found = decontaminate.contaminated_texts(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found, ["doc_id", "mark"], "left_anti").select(*COLUMNS)
+    return docs.join(found, minhash.same_row(docs, found), "left_anti").select(*COLUMNS)
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

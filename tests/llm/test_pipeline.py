@@ -78,3 +78,12 @@ def test_unlike_texts_under_one_id_are_judged_each(spark):
     assert _left(corpus_pipeline.drop_near_copies(spark, _rows(spark, rows), SF_DIR)) == sorted([(3, copied), (7, third), (7, unlike)], key=str)
     rows = [(7, f"{unlike} {_item(spark)} {third}"), (7, unlike), (8, third)]
     assert _left(corpus_pipeline.drop_contaminated(spark, _rows(spark, rows), SF_DIR)) == sorted(rows[1:], key=str)
+
+
+def test_rows_without_an_id_are_judged_too(spark):
+    copied, unlike, third = (sentence(random.Random(n), 80) for n in (1, 2, 3))
+    rows = [(None, copied), (None, copied), (None, unlike), (5, unlike), (None, third), (None, ""), (None, "")]
+    expected = sorted([(None, copied), (5, unlike), (None, third), (None, ""), (None, "")], key=str)
+    assert _left(corpus_pipeline.drop_near_copies(spark, _rows(spark, rows), SF_DIR)) == expected
+    rows = [(None, f"{unlike} {_item(spark)} {third}"), (None, unlike), (8, third)]
+    assert _left(corpus_pipeline.drop_contaminated(spark, _rows(spark, rows), SF_DIR)) == sorted(rows[1:], key=str)
