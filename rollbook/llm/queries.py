@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import ann, bpe, decontaminate, language_id, licenses, minhash, sharding, suffix_dedup, token_counts, toxicity
+from rollbook.llm import ann, bpe, decontaminate, language_id, licenses, minhash, runs, sharding, suffix_dedup, syncmers, token_counts, toxicity, whitening
 from rollbook.llm.common import crc32_mod
 
 SHARDS = 8
@@ -94,6 +94,63 @@ def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.drop("lang").withColumn("held_out", held_out), model).drop("text")
 
 
+def op11_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = syncmers.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return found.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+
+
+def with_tiled_words(docs: DataFrame) -> DataFrame:
+    """The documents with the words of every tenth, by the hash of its id, laid out as repeats of a few of them."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    step = F.floor(key / 10)
+
+    def tiled(found):
+        n = F.size(found)
+        first = F.pmod(step, n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + F.pmod(step, F.lit(8))))).cast("int")
+        return F.array_join(F.transform(found, lambda word, i: F.when(i < first, word).otherwise(found[first + F.pmod(i - first, period)])), " ")
+
+    tile = F.when(key % 10 == 0, words)
+    rows = docs.select("doc_id", "text", tile.alias("words"))
+    return rows.select("doc_id", F.when(F.size("words") > 0, tiled(F.col("words"))).otherwise(F.col("text")).alias("text"))
+
+
+def op12_descending_lcp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_tiled_words(_table(spark, sf_dir, "documents")))
+
+    def better(best, run):
+        """The run of the greater exponent; of equal ones the first, as runs come by start and period."""
+        more = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | more, run).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    found = found.withColumn("best", F.aggregate("runs", none, better))
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"].cast("string"), run["length"].cast("string"), run["period"].cast("string")))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_qdwh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whole_vectors(_table(spark, sf_dir, "embeddings"))
+    vectors = whitening.fit_list(rows)
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model) if model else 0.0
+    return whitening.whiten(rows, model).select(
+        F.col("key").alias("vec_id"), "component", F.lit(model.count if model else 0).cast("long").alias("n"),
+        "deviation", "whitened", "explained", F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,6 +164,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_edit_counts,
         op9_ftrl,
         op10_output_codes,
+        op11_closed_syncmers,
+        op12_descending_lcp,
+        op13_qdwh,
     )
 }
 

@@ -1,0 +1,128 @@
+"""Runs of words against a search of all starts and periods."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rollbook.llm import runs
+from rollbook.llm.queries import op12_descending_lcp
+
+
+def plain_runs(words: list) -> list[tuple[int, int, int]]:
+    """Every stretch of period q that cannot be extended, if no smaller period holds."""
+    n, found = len(words), {}
+    for period in range(1, n // 4 + 1):
+        at = 0
+        while at + period < n:
+            if words[at] != words[at + period]:
+                at += 1
+                continue
+            end = at
+            while end + period < n and words[end] == words[end + period]:
+                end += 1
+            length = end + period - at
+            if length >= max(6, 4 * period):
+                found.setdefault((at, length), period)
+            at = end
+    return sorted((start, length, period) for (start, length), period in found.items())
+
+
+def collapsed(words: list, found: list[tuple[int, int, int]]) -> list:
+    gone = {at for start, length, period in found for at in range(start + period, start + length)}
+    return [word for at, word in enumerate(words) if at not in gone]
+
+
+@given(st.lists(st.integers(0, 2), max_size=70))
+@settings(max_examples=300, deadline=None)
+def test_short_alphabets(words):
+    assert runs.runs_of(np.array(words, np.int64)) == plain_runs(words)
+
+
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=1, max_size=6), st.integers(1, 9)), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_repeated_parts(parts):
+    words = [word for part, times in parts for word in part * times]
+    assert runs.runs_of(np.array(words, np.int64)) == plain_runs(words)
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 100, 400])
+def test_long_periodic_texts(period):
+    rng = random.Random(period)
+    tile = [rng.randrange(1000) for _ in range(period)]
+    words = [rng.randrange(1000) for _ in range(33)] + tile * (2000 // period) + [rng.randrange(1000) for _ in range(50)] + [1, 2] * 40
+    assert runs.runs_of(np.array(words, np.int64)) == plain_runs(words)
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(3)
+    for words in (rng.integers(0, 3, 50), np.zeros(20, np.int64), np.arange(9)):
+        order, prefix = runs.suffix_order(words.astype(np.int64))
+        texts = [tuple(words[at:]) for at in order]
+        assert texts == sorted(texts)
+        for one, other, length in zip(texts, texts[1:], prefix[1:], strict=False):
+            assert one[:length] == other[:length] and one[: length + 1] != other[: length + 1]
+
+
+def tiled(doc_id, words: list) -> list:
+    if doc_id is None or not words:
+        return words
+    key = zlib.crc32(str(doc_id).encode())
+    if key % 10:
+        return words
+    n, step = len(words), key // 10
+    first = step % n
+    period = 1 + (n - first) // (3 + step % 8)
+    return [words[i] if i < first else words[first + (i - first) % period] for i in range(n)]
+
+
+def plain_row(doc_id, text) -> tuple:
+    words = tiled(doc_id, re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    found = plain_runs(words)
+    best = min(found, key=lambda run: (-Fraction(run[1], run[2]), run[0], run[2]), default=None)
+    lines = "".join(f"{a},{b},{c}\n" for a, b, c in found)
+    left = " ".join(collapsed(words, found))
+    return (
+        doc_id, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+        hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest(),
+    )
+
+
+def test_registered_query_against_brute_force(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [None, "", " \n", "a", "a a a a a a", "b " * 500, "x y " * 30 + "é é é é é é é", "  　 " * 9]
+    texts += [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([5, 60, 400]))) for _ in range(80)]
+    rows = [(i if i % 9 else None, text) for i, text in enumerate(texts)] + [(4, texts[4])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"words": F.lit("x"), "n_words": F.lit(1), "best": F.lit(2)})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = [tuple(row) for row in op12_descending_lcp(spark, str(tmp_path)).collect()]
+    assert sorted(found, key=str) == sorted((plain_row(*row) for row in rows), key=str)
+    assert sum(row[1] for row in found) > 5
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    small = [tuple(row) for row in docs.where("length(text) < 6000").collect()]
+    found = {row[0]: tuple(row) for row in op12_descending_lcp(spark, "/root/testdata/sf0.001").collect()}
+    assert len(found) == docs.count()
+    for row in small:
+        assert found[row[0]] == plain_row(*row)
+
+
+def test_other_columns_stay_and_empty_table(spark):
+    docs = spark.createDataFrame([("k", "a b " * 5)], "name string, text string")
+    row = runs.periodic_runs(docs).first()
+    assert (row.name, row.n_words, row.collapsed_text) == ("k", 10, "a b")
+    assert [tuple(run) for run in row.runs] == [(0, 10, 2)]
+    assert runs.periodic_runs(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        runs.periodic_runs(docs.withColumn("runs", F.lit(0)))

@@ -1,0 +1,115 @@
+"""Whitening against numpy's own eigenvectors and exact sums."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from rollbook.llm import whitening
+from rollbook.llm.queries import op13_qdwh
+
+EPS = np.finfo(np.float64).eps
+_rng = np.random.default_rng(7)
+_turn, _ = np.linalg.qr(_rng.normal(size=(20, 20)))
+MATRICES = {
+    "one": np.array([[3.0]]),
+    "zero": np.zeros((4, 4)),
+    "identity": np.eye(6),
+    "ones": np.ones((9, 9)),
+    "random": (lambda x: x.T @ x)(_rng.normal(size=(100, 40))),
+    "indefinite": (lambda x: x + x.T)(_rng.normal(size=(15, 15))),
+    "ties": (_turn * np.array([5.0] * 7 + [3] * 3 + [1] * 6 + [0] * 4)) @ _turn.T,
+    "mean is an eigenvalue": (_turn * np.array([2.0, 0, *[1] * 18])) @ _turn.T,
+    "close": (_turn * np.array([1e6, *(1 + 1e-12 * i for i in range(19))])) @ _turn.T,
+    "graded": (_turn * 10.0 ** -np.arange(20)) @ _turn.T,
+}
+
+
+@pytest.mark.parametrize("name", list(MATRICES))
+def test_spectrum(name):
+    matrix = (MATRICES[name] + MATRICES[name].T) / 2
+    values, vectors = whitening.spectrum(matrix)
+    norm = max(np.linalg.norm(matrix), 1e-300)
+    assert np.abs(values - np.linalg.eigvalsh(matrix)[::-1]).max() <= 100 * EPS * norm
+    assert np.abs(vectors.T @ vectors - np.eye(len(matrix))).max() <= 100 * EPS
+    assert np.abs(matrix @ vectors - vectors * values).max() <= 100 * EPS * norm
+
+
+@pytest.mark.parametrize("name", ["one", "random", "indefinite", "close"])
+def test_polar_factor(name):
+    matrix = (MATRICES[name] + MATRICES[name].T) / 2
+    values, vectors = np.linalg.eigh(matrix)
+    assert np.abs(whitening.polar_factor(matrix) - (vectors * np.sign(values)) @ vectors.T).max() < 1e-6
+
+
+def plain(rows):
+    """(vec_id, component) to (n, deviation, |whitened|, explained), with Python numbers and numpy's eigh."""
+    x = [(key, [int(np.floor(256 * float(c))) for c in vector]) for key, vector in rows]
+    fit = sorted({tuple(v) for _, v in x})
+    n, sums = len(fit), [sum(column) for column in zip(*fit, strict=True)]
+    mean = np.array([s / n for s in sums])
+    centred = np.array(fit) - mean
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    out = []
+    for key, vector in x:
+        deviation = sum((n * c - s) ** 2 for c, s in zip(vector, sums, strict=True))
+        for k in range(min(4, len(mean))):
+            if values[k] > 1e-9:
+                out.append((key, k + 1, n, deviation, abs((np.array(vector) - mean) @ vectors[:, k]) / np.sqrt(values[k]), values[k] / values.sum()))
+    return sorted(out, key=lambda row: (str(row[0]), row[1], row[4]))
+
+
+def computed(spark, folder, rows, kind="array<float>"):
+    table = spark.createDataFrame(rows, f"vec_id long, embedding {kind}").withColumns({"key": F.lit("x"), "x": F.lit(0), "label": F.lit(1)})
+    table.write.parquet(str(folder / "embeddings.parquet"))
+    found = op13_qdwh(spark, str(folder)).collect()
+    assert all(abs(row.identity_error) < 1e-9 for row in found)
+    return sorted(((r.vec_id, r.component, r.n, r.deviation, abs(r.whitened), r.explained) for r in found), key=lambda row: (str(row[0]), row[1], row[4]))
+
+
+def assert_same(found, expected):
+    assert [row[:4] for row in found] == [row[:4] for row in expected]
+    assert np.allclose([row[4:] for row in found], [row[4:] for row in expected], rtol=1e-8, atol=1e-8)
+
+
+def test_against_numpy(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    vectors = (rng.normal(size=(300, 12)) * np.arange(1, 13)).astype(np.float32).tolist()
+    rows = list(enumerate(vectors)) + [(1000 + i, vectors[0]) for i in range(100)] + [(None, vectors[1]), (3, vectors[3])]
+    odd = [(2000, None), (2001, []), (2002, [None] * 12), (2003, [float("nan")] + [0.0] * 11), (2004, [float("inf")] * 12), (2005, [1.0] * 5)]
+    assert_same(computed(spark, tmp_path, rows + odd), plain(rows))
+
+
+def test_few_dimensions_and_no_variance(spark, tmp_path):
+    rows = [(i, [float(i), 2.0, -float(i)]) for i in range(10)]
+    found = computed(spark, tmp_path, rows)
+    assert {row[1] for row in found} == {1}
+    assert_same(found, plain(rows))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])] * 3])
+def test_nothing_to_whiten(spark, tmp_path, rows):
+    assert computed(spark, tmp_path, rows) == []
+
+
+def test_large_entries_stay_exact(spark, tmp_path):
+    rows = [(i, [float(i * 10**12), float(-(i**2))]) for i in range(1, 9)]
+    found = computed(spark, tmp_path, rows, "array<double>")
+    exact = {row[0]: row[3] for row in plain(rows)}
+    assert {row[0]: row[3] for row in found} == {key: value if value < 2**63 else None for key, value in exact.items()}
+
+
+def test_entries_out_of_range_are_an_error(spark, tmp_path):
+    with pytest.raises(PySparkException, match="beyond the range"):
+        computed(spark, tmp_path, [(1, [1e300]), (2, [0.0])], "array<double>")
+
+
+def test_given_embeddings(spark):
+    rows = [tuple(row) for row in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding").collect()]
+    found = op13_qdwh(spark, "/root/testdata/sf0.001").collect()
+    got = sorted(((r.vec_id, r.component, r.n, r.deviation, abs(r.whitened), r.explained) for r in found), key=lambda row: (str(row[0]), row[1], row[4]))
+    assert_same(got, plain(rows))
+    assert max(row.identity_error for row in found) < 1e-9
