@@ -25,9 +25,9 @@ from rollbook.operators import (
 from rollbook.plans import jobs
 from rollbook.session import scratch_folder
 from rollbook.sources import register as files
-from rollbook.sources import releases
-from rollbook.sources.schema import CODE_TEXTS
-from rollbook.sources.snapshots import Snapshots
+from rollbook.sources import cut, releases
+from rollbook.sources.schema import CODE_TEXTS, REGISTER_NAMES
+from rollbook.sources.snapshots import Parts, Snapshots, hash_parts
 from rollbook.streaming import ingest
 
 AS_OF = dt.date(2001, 7, 15)
@@ -49,7 +49,16 @@ GEO_COLUMNS = [
     "id", "organisation_id", "post_code", "md5_key", "address_type", "country",
     "date_last_modified", "last_modified_by",
 ]
+FULL_GEO_COLUMNS = [
+    "id", "address_1", "address_2", "town", "county", "post_code", "area_location", "country", "address_type",
+    "post_code_formatted", "organisation_id", "md5_key", "date_last_modified", "last_modified_by",
+]
 LINK_NAME_PATTERN = "^/[a-z]+$"
+REGISTER_PARTS = 64
+#: Surrogate ids, and a column that only the test view has.
+DIGEST_WITHOUT = ["n"]
+RELEASE = "release"
+RELEASE_MONTH = dt.date(2001, 7, 1)
 
 CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,6 +111,43 @@ def ingest_fragments(spark, views):
     return register.select(*FILE_COLUMNS, "organisation_id")
 
 
+@check
+def ingest_parts(spark, views):
+    """A small release after the first one, into a register in parts: it writes the parts that it touches."""
+    work = scratch_folder(spark, "ingest_parts")
+    store = Snapshots(spark, f"{work}/tables", parts={"register": hash_parts("company_number", REGISTER_PARTS)})
+    cf = views("company_file")
+    first = registers.upsert_register(registers.empty_register(spark), cf.select(*FILE_COLUMNS), AS_OF, unique=True)
+    store.write("register", first.next, "first")
+    few = cf.filter("n % 50000 < 32 and n % 3 = 0").withColumn("company_status", F.lit("Dissolved"))
+    files.export_fragments(few, f"{work}/in")
+    register = ingest.ingest_fragments(spark, f"{work}/in", store, f"{work}/checkpoint", AS_OF, RELEASE)
+    return register.select(*FILE_COLUMNS, "organisation_id")
+
+
+@check
+def cut_raw_file(spark, views):
+    """One file with line breaks in its values, read in splits."""
+    path = scratch_folder(spark, "raw")
+    raw = files.as_register_file(views("raw_file")).coalesce(1)
+    raw.write.options(**files.WRITE_OPTIONS).csv(path)
+    return cut.scan_raw_register(spark, path).select(*FILE_COLUMNS)
+
+
+@check
+def fragment_counts(spark, views):
+    """The month as the sum of what its fragments counted while they were ingested, one of them twice."""
+    work = scratch_folder(spark, "fragment_counts")
+    files.export_fragments(views("company_file"), f"{work}/in", INGEST_FRAGMENT_ROWS)
+    parts = {"fragment_counts": hash_parts("file_name", 8), "register": hash_parts("company_number", REGISTER_PARTS)}
+    store = Snapshots(spark, f"{work}/tables", parts=parts)
+    for attempt in ("first", "again"):
+        ingest.ingest_fragments(spark, f"{work}/in", store, f"{work}/{attempt}", AS_OF, RELEASE, count_codes=True)
+    return codes.month_from_fragments(
+        store.read("fragment_counts"), RELEASE, F.lit(RELEASE_MONTH), F.substring("sic_code", 1, 2)
+    )
+
+
 @check
 def export_fragments(spark, views):
     path = _exported(spark, views("company_file"), CHECK_FRAGMENT_ROWS)
@@ -135,6 +181,12 @@ def matching_links(spark, views):
     return releases.release_links(releases.page_links(views("pages")), LINK_NAME_PATTERN)
 
 
+@check
+def release_files(spark, views):
+    """The release files, with their dates, that pages with several kinds of links name."""
+    return releases.release_links(releases.page_links(views("release_pages")))
+
+
 @check
 def unprocessed_releases(spark, views):
     links = releases.page_links(views("pages")).withColumnRenamed("href", "filename")
@@ -368,6 +420,33 @@ def upsert_register(spark, views):
     return registers.upsert_register(target, batch, AS_OF, "release").next.drop("file_day")
 
 
+def _wide(cf: DataFrame) -> DataFrame:
+    """The company file with all columns of the register file: those it lacks say their name and a number, or nothing."""
+    n = F.col("n")
+    filled = {
+        name: F.when(n % (at % 5 + 2) != 0, F.concat(F.lit(f"{name} "), (n % (at + 3)).cast("string")))
+        for at, name in enumerate(REGISTER_NAMES)
+        if name not in cf.columns or name == "sic_text_4"
+    }
+    return cf.withColumns(filled)
+
+
+@check
+def upsert_register_wide(spark, views):
+    """All 55 columns of the file, those that no file fills, and the audit columns."""
+    wide = _wide(views("company_file"))
+    target = wide.filter(F.col("file_day") < F.lit(SNAPSHOT_TO)).withColumns(
+        {name: F.concat(F.lit("old "), F.col(name)) for name in REGISTER_NAMES if name != registers.KEY}
+        | {"phone_number": F.lit("0"), "number_of_employees": F.lit("1"), "Date_Of_Insert": F.lit("d"), "SourceFile": F.lit("s")}
+        | {"md5_key": F.md5("organisation_id"), "last_modified_by": F.lit("seed")}
+        | {"last_modified_date": F.lit(c.first_of_month(AS_OF, -1)).cast("timestamp")}
+    )
+    batch = wide.filter(F.col("file_day") >= F.lit(RELEASE_FROM)).select(*REGISTER_NAMES)
+    names = registers.REGISTER_SCHEMA.fieldNames()
+    merged = registers.upsert_register(target.select(*names), batch, AS_OF, RELEASE).next
+    return merged.withColumn("last_modified_date", F.to_date("last_modified_date"))
+
+
 @check
 def upsert_organisation(spark, views):
     return organisations.upsert_organisation(
@@ -442,6 +521,14 @@ def upsert_locations(spark, views):
     return locations.upsert_locations(views("geo_prev"), rows, AS_OF).next.select(*GEO_COLUMNS)
 
 
+@check
+def upsert_locations_wide(spark, views):
+    """All 14 columns, of batches with and without counties."""
+    filled = locations.fill_counties(views("company_file"), views("post_code_mappings"))
+    rows = locations.geo_rows(locations.add_geo_keys(filled), AS_OF)
+    return locations.upsert_locations(views("geo_prev"), rows, AS_OF).next.select(*FULL_GEO_COLUMNS)
+
+
 def _locations_after_upsert(views) -> DataFrame:
     rows = locations.geo_rows(locations.add_geo_keys(views("company_file")), AS_OF)
     return locations.upsert_locations(views("geo_prev"), rows, AS_OF).next
@@ -497,6 +584,27 @@ def rowcount_diffs(spark, views):
     )
 
 
+@check
+def rowcount_observed(spark, views):
+    """As ``rowcount_diffs``, from what was counted while the tables were written."""
+    cf = views("company_file")
+    store = Snapshots(spark, scratch_folder(spark, "observed"))
+    code_table = codes.upsert_codes(views("sic_code_prev"), codes.code_candidates(cf, AS_OF), AS_OF).next
+    organisation = organisations.upsert_organisation(views("organisation_prev"), cf, AS_OF).next
+    home, office = F.col("country") == "UK", locations.is_home_head_office()
+    changed = {
+        "sic_code": (code_table, reconcile.changed_count("date_last_modified", AS_OF)),
+        "organisation": (organisation, reconcile.changed_count("last_modified_date", AS_OF, home)),
+        "geo_location": (_locations_after_upsert(views), reconcile.changed_count("date_last_modified", AS_OF, office)),
+    }
+    for name, (table, count) in changed.items():
+        store.write(name, table, RELEASE, count={jobs.CHANGED: count})
+    store.write("register", cf, RELEASE, count={jobs.POTENTIAL: codes.potential_code_count()})
+    counts = {jobs.POTENTIAL: store.counted("register", RELEASE)[jobs.POTENTIAL]}
+    counts |= {column: store.counted(name, RELEASE)[jobs.CHANGED] for name, column in jobs.RECONCILED.items()}
+    return reconcile.set_counts(views("rowcounts"), counts, AS_OF)
+
+
 @check
 def section_gate(spark, views):
     return control.section_gate(views("filetracker"))
@@ -548,6 +656,29 @@ def load_month_totals(spark, views):
     return loaded
 
 
+def _reloaded(spark, views) -> tuple[DataFrame, DataFrame]:
+    """July is loaded again from a table in parts: the codes that it had vanish, others come."""
+    parts = {"sic_counts": Parts("file_date"), "category_totals": Parts("file_date")}
+    store = Snapshots(spark, scratch_folder(spark, "reloaded"), parts=parts)
+    counts = store.write("sic_counts", views("sic_counts"), "seed")
+    totals = store.write("category_totals", codes.category_totals(counts), "seed")
+    month = codes.monthly_code_counts(views("company_file"), F.lit(RELEASE_MONTH), F.substring("sic_code", 1, 2))
+    counts = store.write("sic_counts", month.select(*counts.columns), RELEASE, parts=[str(RELEASE_MONTH)])
+    of_month = codes.category_totals(counts.filter(F.col("file_date") == F.lit(RELEASE_MONTH)))
+    totals = store.write("category_totals", of_month.select(*totals.columns), RELEASE, parts=[str(RELEASE_MONTH)])
+    return counts, totals
+
+
+@check
+def reload_month(spark, views):
+    return _reloaded(spark, views)[0]
+
+
+@check
+def reload_month_totals(spark, views):
+    return _reloaded(spark, views)[1]
+
+
 def _empty_reports(counts: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Report tables that hold the month pair before the current one."""
     month = c.first_of_month(AS_OF, -1)
@@ -559,11 +690,10 @@ def _empty_reports(counts: DataFrame, totals: DataFrame) -> tuple[DataFrame, Dat
     return by_code, by_category
 
 
-@check
-def refresh_codes(spark, views):
+def _refreshed_codes(spark, views) -> jobs.Codes:
     counts = _counts(spark, views)
     totals = codes.category_totals(counts)
-    refreshed = jobs.refresh_codes(
+    return jobs.refresh_codes(
         views("sic_code_prev"),
         *_empty_reports(counts, totals),
         views("company_file"),
@@ -572,7 +702,40 @@ def refresh_codes(spark, views):
         views("sic_code_categories"),
         AS_OF,
     )
-    return refreshed.sic_code
+
+
+@check
+def refresh_codes(spark, views):
+    return _refreshed_codes(spark, views).sic_code
+
+
+@check
+def refresh_codes_report(spark, views):
+    return _rounded(_refreshed_codes(spark, views).code_analytics)
+
+
+@check
+def refresh_codes_categories(spark, views):
+    return _rounded(_refreshed_codes(spark, views).category_analytics)
+
+
+@check
+def refresh_codes_rejects(spark, views):
+    return _refreshed_codes(spark, views).sic_code_rejects
+
+
+def _digest(table: DataFrame, name: str) -> DataFrame:
+    """(table_name, row_count, digest): the sum of a hash of every row, all columns but the ids included."""
+
+    def text(column: str, kind: str):
+        if kind == "double":
+            return F.round(F.col(column) * 10_000).cast("bigint").cast("string")
+        return F.col(column).cast("date").cast("string") if kind in ("date", "timestamp") else F.col(column).cast("string")
+
+    kinds = {column: kind for column, kind in table.dtypes if column not in DIGEST_WITHOUT}
+    row = F.concat_ws("|", *[F.coalesce(text(column, kinds[column]), F.lit("~")) for column in sorted(kinds, key=str.lower)])
+    value = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")
+    return table.agg(F.count("*").alias("row_count"), F.sum(value).alias("digest")).select(F.lit(name).alias("table_name"), "row_count", "digest")
 
 
 @check
@@ -601,13 +764,8 @@ def refresh_all(spark, views):
         "register", "organisation", "sic_code", "code_analytics", "category_analytics",
         "geo_location", "filetracker",
     ]
-    sizes = [
-        store.read(name).agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        for name in results
-    ]
-    total = sizes[0]
-    for size in sizes[1:]:
-        total = total.unionByName(size)
+    digests = [_digest(store.read(name), name) for name in results]
+    total = digests[0]
+    for digest in digests[1:]:
+        total = total.unionByName(digest)
     return total

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rollbook.bindings.views import DUCKDB_MACROS, expand, view_texts
+from rollbook.sources.schema import REGISTER_NAMES
 
 AS_OF = "date '2001-07-15'"
 
@@ -75,17 +76,26 @@ from company_file""",
 select company_number, organisation_id, reg_address_postcode,
   case when reg_address_county is null and reg_address_postcode<>'' then new_county else reg_address_county end reg_address_county
 from repaired left join first_county on replace(reg_address_postcode,' ','')=Postcode""",
-    "geo_batch": """
-select organisation_id, coalesce(reg_address_postcode,'') post_code, md5(organisation_id||coalesce(reg_address_postcode,'')) md5_key
-from company_file""",
-    "refreshed_batch": """
-select organisation_id, coalesce(reg_address_postcode,'') post_code, md5(organisation_id||coalesce(reg_address_postcode,'')) md5_key
-from filled""",
+    "geo_batch": "@ADDRESSES from (select * exclude (reg_address_county), reg_address_county county from company_file)",
+    "refreshed_batch": """@ADDRESSES from (select f.*, f.reg_address_county county, reg_address_line1, reg_address_line2, reg_address_posttown
+  from filled f join company_file using (company_number, organisation_id))""",
+    "county_batch": """@ADDRESSES from (select f.*, coalesce(reg_address_county,new_county) county
+  from company_file f left join first_county on replace(reg_address_postcode,' ','')=Postcode)""",
 }
 
-# The location upsert occurs with three batches.
-GEO_AFTER = """
+# The batches of the location table differ in where postcode and county come from.
+ADDRESSES = """
+select organisation_id, coalesce(reg_address_postcode,'') post_code, md5(organisation_id||coalesce(reg_address_postcode,'')) md5_key,
+  reg_address_line1 address_1, reg_address_line2 address_2, reg_address_posttown town, county, county area_location,
+  lower(replace(coalesce(reg_address_postcode,''),' ','')) post_code_formatted"""
+for _name in ("geo_batch", "refreshed_batch", "county_batch"):
+    SHARED[_name] = SHARED[_name].replace("@ADDRESSES", ADDRESSES)
+
+# The location upsert occurs with four batches.
+GEO_TEXTS = ["address_1", "address_2", "town", "county", "area_location", "post_code_formatted"]
+GEO_AFTER = f"""
 select coalesce(p.id, (select max(id) from geo_prev)+1+b.number) id,
+  {", ".join(f"case when p.id is null then b.{name} else p.{name} end {name}" for name in GEO_TEXTS)},
   coalesce(p.organisation_id,b.organisation_id) organisation_id, coalesce(p.post_code,b.post_code) post_code, md5_key,
   case when b.number is not null then 'HEAD_OFFICE' else p.address_type end address_type,
   case when p.id is null then 'UK' else p.country end country,
@@ -94,6 +104,7 @@ select coalesce(p.id, (select max(id) from geo_prev)+1+b.number) id,
 from geo_prev p full join (select *, (row_number() over (partition by substr(md5_key,1,4) order by md5_key)-1)*65536
   +cast('0x'||substr(md5_key,1,4) as bigint) number from @BATCH) b using (md5_key)"""
 SHARED["geo_after"] = GEO_AFTER.replace("@BATCH", "geo_batch")
+SHARED["county_geo_after"] = GEO_AFTER.replace("@BATCH", "county_batch")
 SHARED["parented_batch"] = "select * from refreshed_batch where organisation_id in (select id from organisation_prev)"
 SHARED["parented_geo_after"] = GEO_AFTER.replace("@BATCH", "parented_batch")
 SHARED["refreshed_geo_after"] = GEO_AFTER.replace("@BATCH", "refreshed_batch")
@@ -108,6 +119,25 @@ SHARED["refreshed_geo_kept"] = KEEP_LATEST.replace("@GEO", "refreshed_geo_after"
 FILE_COLUMNS = """company_number, company_name, company_status, nullif(IncorporationDate,'') IncorporationDate,
   sic_text_1, sic_text_2, sic_text_3, sic_text_4, reg_address_line1, reg_address_line2, reg_address_posttown,
   reg_address_county, reg_address_postcode"""
+RELEASE_COUNTS = """select regexp_replace(text,'[^0-9]+','','g') sic_code, substr(regexp_replace(text,'[^0-9]+','','g'),1,2) sic_code_category,
+  count(*) counts, date '2001-07-01' file_date
+from code_texts where company_status in ('Active','Active - Proposal to Strike Off') and text is not null group by 1, 2"""
+SHARED["month_reloaded"] = f"""select sic_code, sic_code_category, counts, file_date from sic_counts where file_date<>date '2001-07-01'
+union all {RELEASE_COUNTS}"""
+SHARED["code_table"] = """
+select *, 'seed' last_modified_by, date '2001-06-01' last_modified_date from all_code_pairs where year(second_month)=2001 and month(second_month)=6
+union all select *, 'code report insert', @AS_OF from code_report"""
+SHARED["category_table"] = """
+select a.*, c.Category_Description category_description from (
+  select *, 'seed' last_modified_by, date '2001-06-01' last_modified_date from all_category_pairs where year(second_month)=2001 and month(second_month)=6
+  union all select *, 'category report insert', @AS_OF from category_report) a left join sic_code_categories c using (sic_code_category)"""
+SHARED["register_refreshed"] = """
+select c.* replace (coalesce(f.reg_address_postcode,'') as reg_address_postcode, f.reg_address_county as reg_address_county),
+  md5(organisation_id||coalesce(f.reg_address_postcode,'')) md5_key
+from company_file c join filled f using (company_number, organisation_id)"""
+SHARED["tracker_done"] = """
+select * replace (case when section3 is null and section2 is not null then @AS_OF else section3 end as section3) from filetracker"""
+
 GEO_COLUMNS = "id, organisation_id, post_code, md5_key, address_type, country, date_last_modified, last_modified_by"
 
 # Columns of the register that a matched row takes from the batch as they are.
@@ -132,6 +162,35 @@ def _report_after(report: str, before: str, name: str, inserted: str, updated: s
 from {before} p full join {report} b using (md5_str)"""
 
 
+# The company file with all columns of the register file; those it lacks say their name and a number, or nothing.
+COMPANY_FILE = [
+    "company_number", "company_name", "company_status", "IncorporationDate", "sic_text_1", "sic_text_2", "sic_text_3",
+    "reg_address_line1", "reg_address_line2", "reg_address_posttown", "reg_address_county", "reg_address_postcode",
+]
+WIDE = ", ".join(
+    name if name in COMPANY_FILE else f"case when n%{at % 5 + 2}<>0 then '{name} '||cast(n%{at + 3} as varchar) end {name}"
+    for at, name in enumerate(REGISTER_NAMES)
+)
+BUT_KEY = [name for name in REGISTER_NAMES if name != "company_number"]
+
+
+def _digest(name: str, source: str, columns: list[str], doubles: tuple[str, ...] = ()) -> str:
+    texts = [f"round({c}*10000)::bigint" if c in doubles else c for c in sorted(columns, key=str.lower)]
+    row = "concat_ws('|', " + ", ".join(f"coalesce(cast({text} as varchar),'~')" for text in texts) + ")"
+    return f"""select '{name}' table_name, count(*) row_count, cast(sum(cast('0x'||substr(md5({row}),1,8) as bigint)) as bigint) digest from {source}"""
+
+
+REPORT = ["first_month", "second_month", "first_month_count", "second_month_count", "diff", "pct_change", "md5_str", "last_modified_by", "last_modified_date"]
+REFRESHED = [
+    _digest("register", "register_refreshed", [*COMPANY_FILE, "sic_text_4", "organisation_id", "file_day", "md5_key"]),
+    _digest("organisation", "organisation_after", ["id", "company_number", "company_name", "company_status", "date_formed", "last_modified_date", "last_modified_by", "country"]),
+    _digest("sic_code", "codes_after", ["code", "organisation_id", "company_number", "md5", "date_last_modified"]),
+    _digest("code_analytics", "code_table", ["sic_code", *REPORT], ("pct_change",)),
+    _digest("category_analytics", "category_table", ["sic_code_category", "category_description", *REPORT], ("pct_change",)),
+    _digest("geo_location", "refreshed_geo_kept", ["id", *GEO_TEXTS, "organisation_id", "post_code", "md5_key", "address_type", "country", "date_last_modified", "last_modified_by"]),
+    _digest("filetracker", "tracker_done", ["filename", "section1", "section2", "section3"]),
+]
+
 COUNT_CODES = "(select count(*) from codes_after where year(date_last_modified)=2001 and month(date_last_modified)=7)"
 COUNT_LOCATIONS = """(select count(*) from geo_after where year(date_last_modified)=2001 and month(date_last_modified)=7
   and country='UK' and address_type='HEAD_OFFICE')"""
@@ -143,12 +202,21 @@ TEXTS = {
     "scan_register": f"select {FILE_COLUMNS} from company_file",
     "scan_sic_columns": "select sic_text_1, sic_text_2, sic_text_3, sic_text_4, company_status from company_file",
     "ingest_fragments": f"select {FILE_COLUMNS}, organisation_id from company_file",
+    "ingest_parts": """select * exclude (few) replace (case when few then 'Dissolved' else company_status end as company_status,
+  case when few then nullif(IncorporationDate,'') else IncorporationDate end as IncorporationDate)
+from (select company_number, company_name, company_status, IncorporationDate, sic_text_1, sic_text_2, sic_text_3, sic_text_4,
+  reg_address_line1, reg_address_line2, reg_address_posttown, reg_address_county, reg_address_postcode, organisation_id,
+  n%50000<32 and n%3=0 few from company_file)""",
+    "cut_raw_file": f"select {FILE_COLUMNS} from raw_file",
+    "fragment_counts": RELEASE_COUNTS,
     "export_fragments": "select count(*) rows_total, true within_limit from orders",
     "file_row_counts": "select count(*) file_rowcount from orders",
     "landing_overwrite": "select company_number, company_name, company_status from company_file",
     "release_links": "select page_id, href from release_links",
     "matching_links": """select page_id, href filename, cast(null as date) release_date
 from release_links where regexp_full_match(href,'/[a-z]+')""",
+    "release_files": """select page_id, 'BasicCompanyDataAsOneFile-'||cast(@DAYS(page_id) as varchar)||'.zip' filename, @DAYS(page_id) release_date
+from pages where html is not null""",
     "unprocessed_releases": """select distinct href filename from release_links
 where href not in (select filename from filetracker where section1 is not null)""",
     "file_name_parts": """select 'Register-'||cast(file_month as varchar)||'.zip' release_name, file_month release_date,
@@ -203,6 +271,16 @@ from category_report r left join sic_code_categories c using (sic_code_category)
   case when p.company_number is null then 'register insert release' when b.is_in then 'register update release' else 'seed' end last_modified_by
 from (select * replace ('Dormant' as company_status), '0' phone_number, md5(organisation_id) md5_key from company_file where file_day < date '2000-01-01') p
 full join (select *, true is_in from company_file where file_day >= date '1997-01-01') b using (company_number, organisation_id)""",
+    "upsert_register_wide": f"""select company_number, organisation_id,
+  {", ".join(f"case when b.is_in then b.{name} else p.{name} end {name}" for name in BUT_KEY)},
+  case when b.is_in then null else 'd' end Date_Of_Insert, case when b.is_in then null else 's' end SourceFile,
+  case when b.is_in then null else '0' end phone_number, case when b.is_in then null else '1' end number_of_employees,
+  case when b.is_in then null else md5(organisation_id) end md5_key,
+  case when b.is_in then @AS_OF else date '2001-06-01' end last_modified_date,
+  case when p.company_number is null then 'register insert release' when b.is_in then 'register update release' else 'seed' end last_modified_by
+from (select company_number, organisation_id, {", ".join(f"'old '||{name} {name}" for name in BUT_KEY)}
+  from (select organisation_id, {WIDE} from company_file where file_day < date '2000-01-01')) p
+full join (select organisation_id, {WIDE}, true is_in from company_file where file_day >= date '1997-01-01') b using (company_number, organisation_id)""",
     "upsert_organisation": "select * from organisation_after",
     "postcode_repair": "select company_number, reg_address_postcode from repaired",
     "postcode_repair_variants": """select company_number,
@@ -225,6 +303,7 @@ from (select *, coalesce(reg_address_postcode,'') post_code from company_file)""
     "orphan_locations": "select organisation_id, post_code, md5_key from geo_batch where organisation_id not in (select id from organisation_prev)",
     "parented_locations": "select organisation_id, post_code, md5_key from geo_batch where organisation_id in (select id from organisation_prev)",
     "upsert_locations": f"select {GEO_COLUMNS} from geo_after",
+    "upsert_locations_wide": f"select {GEO_COLUMNS}, {', '.join(GEO_TEXTS)} from county_geo_after",
     "head_office_rank": """select id, organisation_id, cast(rank() over (partition by organisation_id order by id desc) as integer) id_rank
 from geo_after where address_type='HEAD_OFFICE' and country='UK'""",
     "keep_latest_head_office": f"select {GEO_COLUMNS} from geo_kept",
@@ -250,13 +329,14 @@ from filetracker""",
 union all select file_date, sic_code_category, cast(sum(counts) as bigint), md5(cast(file_date as varchar)||sic_code_category)
 from month_loaded where sic_code_category is not null and file_date >= date '2001-01-01' group by file_date, sic_code_category""",
     "refresh_codes": "select code, organisation_id, company_number, md5, date_last_modified from codes_after",
-    "refresh_all": """select 'register' table_name, count(*) row_count from company_file
-union all select 'organisation', count(*) from organisation_after
-union all select 'sic_code', count(*) from codes_after
-union all select 'code_analytics', count(*) from all_code_pairs where year(second_month)=2001 and month(second_month) in (6,7)
-union all select 'category_analytics', count(*) from all_category_pairs where year(second_month)=2001 and month(second_month) in (6,7)
-union all select 'geo_location', count(*) from refreshed_geo_kept
-union all select 'filetracker', count(*) from filetracker""",
+    "refresh_codes_report": "select * from code_table",
+    "refresh_codes_categories": "select * from category_table",
+    "refresh_codes_rejects": """select distinct cast(null as varchar) code, organisation_id, company_number, cast(null as varchar) md5, @AS_OF date_last_modified
+from code_texts where text is not null and @DIGITS(text) is null""",
+    "reload_month": "select sic_code, sic_code_category, counts, file_date from month_reloaded",
+    "reload_month_totals": """select file_date, sic_code_category as Category, cast(sum(counts) as bigint) as count,
+  md5(cast(file_date as varchar)||sic_code_category) md5_str from month_reloaded group by file_date, sic_code_category""",
+    "refresh_all": " union all ".join(REFRESHED),
 }
 
 
@@ -277,4 +357,6 @@ def oracle_text(text: str) -> str:
     return expand(full.replace("@AS_OF", AS_OF), DUCKDB_MACROS)
 
 
+TEXTS["rowcount_observed"] = TEXTS["rowcount_diffs"]
+
 ORACLES = {name: oracle_text(text) for name, text in TEXTS.items()}

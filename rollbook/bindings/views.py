@@ -51,9 +51,11 @@ select distinct @DIGITS(sic_text_1) code, organisation_id, company_number,
   case when n%6=0 then date '2001-07-01' else date '2001-06-01' end date_last_modified
 from company_file where n%2=0""",
     "geo_prev": """
-select n id, organisation_id, post_code, md5(organisation_id||post_code) md5_key, address_type, country,
+select n id, address_1, address_2, town, county, post_code, area_location, country, address_type,
+  lower(replace(post_code,' ','')) post_code_formatted, organisation_id, md5(organisation_id||post_code) md5_key,
   date '2001-06-01' date_last_modified, 'seed' last_modified_by
-from (select n, organisation_id,
+from (select n, organisation_id, 'Old '||reg_address_line1 address_1, reg_address_line2 address_2,
+        lower(reg_address_posttown) town, reg_address_county county, 'Area '||cast(n%5 as string) area_location,
         case when n%4=0 then coalesce(reg_address_postcode,'') else 'ZZ1 1ZZ' end post_code,
         case when n%6=0 then 'BRANCH' else 'HEAD_OFFICE' end address_type,
         case when n%31=0 then 'IE' else 'UK' end country
@@ -62,6 +64,16 @@ from (select n, organisation_id,
 select cast(date_trunc('month',o_orderdate) as date) file_month, count(*) file_rowcount from orders group by 1""",
     "release_links": """
 select page_id, href from (select page_id, @EXPLODE from pages) h""",
+    "release_pages": """
+select page_id, html||' <a class="x" href="files/BasicCompanyDataAsOneFile-'||cast(@DAYS(page_id) as string)||'.zip">all</a>'
+  ||'<A HREF=''BasicCompanyData-'||cast(@DAYS(page_id) as string)||'-part1_7.zip''>part</A>' html
+from pages""",
+    "raw_file": """
+select company_number, company_status, IncorporationDate, sic_text_1, sic_text_2, sic_text_3, sic_text_4,
+  case when n%5=0 then company_name||chr(10)||'"Branch, '||cast(n as string)||'"' when n%7=0 then company_name||chr(10)||chr(10)||'x' else company_name end company_name,
+  case when n%11=0 then reg_address_line1||chr(10)||',' else reg_address_line1 end reg_address_line1,
+  reg_address_line2, reg_address_posttown, reg_address_county, reg_address_postcode
+from company_file""",
     "filetracker": """
 select href filename, date '2001-06-01' section1,
   case when page_id%4=0 then date '2001-06-02' end section2, cast(null as date) section3
@@ -74,12 +86,14 @@ SPARK_MACROS = {
     "@DMY(": "(date_format($1,'dd/MM/yyyy'))",
     "@PARSE(": "(try_to_date($1,'dd/MM/yyyy'))",
     "@DIGITS(": "(regexp_substr($1,'[0-9]+'))",
+    "@DAYS(": "date_add(date '1990-01-01', cast((($1)%10000)*17 as int))",
     "@EXPLODE": "explode(regexp_extract_all(html,'href=\"([^\"]+)\"',1)) href",
 }
 DUCKDB_MACROS = {
     "@DMY(": "(strftime($1,'%d/%m/%Y'))",
     "@PARSE(": "(cast(try_strptime($1,'%d/%m/%Y') as date))",
     "@DIGITS(": "(nullif(regexp_extract($1,'[0-9]+'),''))",
+    "@DAYS(": "(date '1990-01-01' + cast((($1)%10000)*17 as integer))",
     "@EXPLODE": "unnest(regexp_extract_all(html,'href=\"([^\"]+)\"',1)) href",
 }
 

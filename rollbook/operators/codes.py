@@ -74,6 +74,39 @@ def monthly_code_counts(
     )
 
 
+def fragment_counts(fragments: DataFrame, release: str) -> DataFrame:
+    """(release, file_name, sic_code, sic_code_count): what each file adds to the month's counts."""
+    counts = count_codes(fragments, ["file_name"])
+    return counts.select(F.lit(release).alias("release"), "file_name", "sic_code", "sic_code_count")
+
+
+def replace_fragments(table: DataFrame, counts: DataFrame, files: DataFrame) -> DataFrame:
+    """The table with the counts of ``files`` (release, file_name) replaced, also where nothing is left to count."""
+    return table.join(files, ["release", "file_name"], "left_anti").select(*counts.columns).unionByName(counts)
+
+
+def month_from_fragments(
+    table: DataFrame, release: str, file_date: Column, category: Column | None = None
+) -> DataFrame:
+    """The monthly fact as the sum of the files' counts, without reading the register.
+
+    A company that stands in two files counts in both.
+    """
+    counts = table.filter(F.col("release") == release).groupBy("sic_code").agg(F.sum("sic_code_count").alias("counts"))
+    return counts.select(
+        "sic_code",
+        (F.lit(None) if category is None else category).cast("string").alias("sic_code_category"),
+        "counts",
+        file_date.alias("file_date"),
+    )
+
+
+def replace_month(table: DataFrame, month: DataFrame, file_date: dt.date) -> DataFrame:
+    """The table with the rows of one ``file_date`` replaced; what is not counted any more goes."""
+    other = F.coalesce(F.col("file_date") != F.lit(file_date), F.lit(True))
+    return table.filter(other).unionByName(month.select(*table.columns))
+
+
 # --- from the register to the code table ---
 
 
@@ -126,6 +159,15 @@ def upsert_codes(
     )
 
 
+def _codes_in_row() -> Column:
+    return F.array_distinct(F.array(*[c.before_dash(F.col(text)) for text in CODE_TEXTS]))
+
+
+def potential_code_count() -> Column:
+    """The count of potential entries as an aggregate, where each company stands once."""
+    return F.coalesce(F.sum(F.size(_codes_in_row())), F.lit(0))
+
+
 def potential_code_entries(register: DataFrame, unique: bool = False) -> DataFrame:
     """Number of distinct (company, code before the dash) pairs; NULL is one code.
 
@@ -133,11 +175,10 @@ def potential_code_entries(register: DataFrame, unique: bool = False) -> DataFra
     each company once, as ``unique`` states, their number is all there is to add
     up and nothing is shuffled.
     """
-    in_row = F.array_distinct(F.array(*[c.before_dash(F.col(text)) for text in CODE_TEXTS]))
     name = "potential_sic_code_entries"
     if unique:
-        return register.agg(F.coalesce(F.sum(F.size(in_row)), F.lit(0)).alias(name))
-    pairs = register.select("company_number", F.explode(in_row).alias("code"))
+        return register.agg(potential_code_count().alias(name))
+    pairs = register.select("company_number", F.explode(_codes_in_row()).alias("code"))
     return pairs.distinct().agg(F.count("*").alias(name))
 
 

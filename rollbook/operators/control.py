@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SECTIONS = ["section1", "section2", "section3"]
+
 
 def is_ready() -> Column:
     """Loaded into the register, not yet into the derived tables."""
@@ -21,7 +23,21 @@ def any_ready(tracker: DataFrame) -> bool:
     return not section_gate(tracker).isEmpty()
 
 
-def mark_done(tracker: DataFrame, as_of: dt.date) -> DataFrame:
-    """Date the files that passed the gate; the others stay as they are."""
+def mark_done(tracker: DataFrame, as_of: dt.date, among: DataFrame | None = None) -> DataFrame:
+    """Date the files that passed the gate; the others stay as they are.
+
+    With ``among``, a tracker read earlier, only files that were ready there are dated.
+    """
     done = F.when(is_ready(), F.lit(as_of)).otherwise(F.col("section3"))
-    return tracker.withColumn("section3", done)
+    if among is None:
+        return tracker.withColumn("section3", done)
+    ready = section_gate(among).select("filename", F.lit(True).alias("__ready")).distinct()
+    marked = tracker.join(ready, "filename", "left")
+    return marked.withColumn("section3", F.when(F.col("__ready"), done).otherwise(F.col("section3"))).select(*tracker.columns)
+
+
+def mark_section(tracker: DataFrame, section: str, files: DataFrame, as_of: dt.date) -> DataFrame:
+    """Date ``section`` for the named files; names the tracker does not know are added, dates that stand are kept."""
+    named = files.select("filename").filter(F.col("filename").isNotNull()).distinct().withColumn("__named", F.lit(True))
+    dated = F.coalesce(F.col(section), F.when(F.col("__named"), F.lit(as_of)))
+    return tracker.join(named, "filename", "full_outer").withColumn(section, dated).select(*tracker.columns)

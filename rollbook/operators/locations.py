@@ -13,6 +13,8 @@ from rollbook.operators.skew import descending_rank, lookup, number_by_hash
 
 HEAD_OFFICE = "HEAD_OFFICE"
 HOME_COUNTRY = "UK"
+#: What a location table of keys and types alone does without.
+ADDRESS_COLUMNS = ["address_1", "address_2", "town", "county", "area_location", "post_code_formatted"]
 ADDRESS_PARTS = [
     "reg_address_line1", "reg_address_line2", "reg_address_posttown", "reg_address_county",
 ]
@@ -143,6 +145,7 @@ def upsert_locations(
 ) -> Upserted:
     """Insert new addresses under new ids; a known address becomes head office again.
 
+    A target may lack the address columns; any other difference is an error.
     Ids continue after the highest one. Every row of the batch draws a number,
     so known addresses leave gaps, as they do in an auto-increment column.
     """
@@ -163,6 +166,7 @@ def upsert_locations(
             "last_modified_by": F.lit("location update"),
         },
         unique=True,
+        ignore=ADDRESS_COLUMNS,
     )
     return Upserted(merged.next, rows.filter(~has_key(["md5_key"])))
 

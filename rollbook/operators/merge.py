@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -46,6 +46,7 @@ def upsert(
     on_match: Mapping[str, Column] | None = None,
     order: Sequence[str] = (),
     unique: bool = False,
+    ignore: Collection[str] = (),
 ) -> Upserted:
     """Merge ``batch`` into ``target`` by ``keys``.
 
@@ -60,10 +61,15 @@ def upsert(
     ``unique`` states that the batch holds each key once and saves the
     aggregation that otherwise makes it so.
 
+    A batch column that the target lacks is an error, or a misspelt name would load
+    NULLs; only columns of ``order`` and those to ``ignore`` may be left out.
+
     The join shuffles both sides on the key. A target that is bucketed by the
     key is not shuffled.
     """
     on_insert, on_match = dict(on_insert or {}), dict(on_match or {})
+    if unknown := set(batch.columns) - set(target.columns) - set(order) - set(ignore):
+        raise ValueError(f"the target has no columns {sorted(unknown)}")
     rejects = batch.filter(~has_key(keys))
     keyed = batch.filter(has_key(keys))
     if not unique:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import columns as c
@@ -72,3 +73,21 @@ def add_differences(rowcounts: DataFrame, as_of: dt.date) -> DataFrame:
         diff = F.col("file_rowcount") - F.col(changed)
         rowcounts = rowcounts.withColumn(name, F.when(here, diff).otherwise(old))
     return rowcounts
+
+
+# --- counted while the tables are written ---
+
+
+def changed_count(column: str, as_of: dt.date, where: Column | None = None) -> Column:
+    """How many rows changed in the month, as an aggregate to take along with a write."""
+    here = c.in_month(F.col(column), as_of)
+    return F.count_if(here if where is None else here & where)
+
+
+def set_counts(rowcounts: DataFrame, counts: Mapping[str, int], as_of: dt.date) -> DataFrame:
+    """Write counts that are known into the month's row, and the differences."""
+    here = c.in_month(F.col("file_month"), as_of)
+    for name, count in counts.items():
+        old = F.col(name) if name in rowcounts.columns else F.lit(None).cast("bigint")
+        rowcounts = rowcounts.withColumn(name, F.when(here, F.lit(count).cast("bigint")).otherwise(old))
+    return add_differences(rowcounts, as_of)

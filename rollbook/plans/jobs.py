@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from rollbook.operators import codes, control, locations, organisations, reconcile
 from rollbook.operators.merge import Upserted, upsert
+from rollbook.sources import register as files
 from rollbook.sources.snapshots import Snapshots
+from rollbook.streaming import ingest
 
 
 class Codes(NamedTuple):
@@ -27,6 +29,22 @@ class Codes(NamedTuple):
     code_analytics: DataFrame
     category_analytics: DataFrame
     sic_code_rejects: DataFrame
+    code_analytics_rejects: DataFrame
+    category_analytics_rejects: DataFrame
+
+
+POTENTIAL, CHANGED = "potential_sic_code_entries", "changed"
+#: The tables whose changed rows are counted, and the column for it.
+RECONCILED = {
+    "sic_code": "rows_changed_in_siccode",
+    "geo_location": "rows_changed_in_geolocation",
+    "organisation": "rows_changed_in_org",
+}
+#: The tables that the monthly run reads, and pins when it starts.
+INPUTS = [
+    "register", "organisation", "sic_code", "sic_counts", "category_totals", "code_analytics", "category_analytics",
+    "geo_location", "post_code_mappings", "sic_code_categories", "filetracker", "fragment_counts",
+]
 
 
 def refresh_register_addresses(register: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -75,14 +93,15 @@ def refresh_codes(
     by_code = codes.code_month_over_month(counts, as_of)
     by_category = codes.category_month_over_month(totals, as_of)
     merged = codes.upsert_codes(code_table, candidates, as_of, unique=True)
+    code_report = codes.upsert_code_analytics(code_analytics, by_code, as_of)
+    category_report = codes.upsert_category_analytics(category_analytics, by_category, as_of)
     return Codes(
         merged.next,
-        codes.upsert_code_analytics(code_analytics, by_code, as_of).next,
-        codes.fill_descriptions(
-            codes.upsert_category_analytics(category_analytics, by_category, as_of).next,
-            categories,
-        ),
+        code_report.next,
+        codes.fill_descriptions(category_report.next, categories),
         merged.rejects,
+        code_report.rejects,
+        category_report.rejects,
     )
 
 
@@ -105,6 +124,16 @@ def load_month(
     return merged.next, codes.insert_new_totals(totals, new_totals).next
 
 
+def reload_month(
+    counts: DataFrame, totals: DataFrame, month: DataFrame, file_date: dt.date
+) -> tuple[DataFrame, DataFrame]:
+    """The monthly fact and the category totals with one month replaced by ``month``, what vanished included."""
+    return (
+        codes.replace_month(counts, month, file_date),
+        codes.replace_month(totals, codes.category_totals(month), file_date),
+    )
+
+
 def reconcile_month(
     rowcounts: DataFrame,
     register: DataFrame,
@@ -121,50 +150,138 @@ def reconcile_month(
     return reconcile.add_differences(counted, as_of)
 
 
-def run_derived_tables(store: Snapshots, as_of: dt.date, run: str) -> bool:
-    """Refresh all derived tables from the newest register, if a file is waiting.
+def register_release(
+    store: Snapshots, filename: str, fragments: str, file_month: dt.date, as_of: dt.date, run: str, multi_line: bool = True
+) -> int:
+    """Note a release whose fragments are at hand: its records in ``rowcounts``, its name in the tracker as section 1.
+
+    Returns the number of records. A release noted again sets its count anew.
+    """
+    spark = store.spark
+    counted = files.total_row_count(files.file_row_counts(spark, fragments, multi_line))
+    if not store.finished("rowcounts", run):
+        row = counted.select(F.lit(file_month).alias("file_month"), "file_rowcount")
+        target = store.read("rowcounts", row.limit(0))
+        store.write("rowcounts", upsert(target, row, ["file_month"], overwrite=["file_rowcount"], unique=True).next, run)
+    mark_section(store, "section1", filename, as_of, run)
+    return store.read("rowcounts").filter(F.col("file_month") == F.lit(file_month)).select("file_rowcount").first()[0]
+
+
+def mark_section(store: Snapshots, section: str, filename: str, as_of: dt.date, run: str) -> None:
+    """Date a section of one file in the stored tracker."""
+    named = store.spark.range(0, 1, 1, 1).select(F.lit(filename).alias("filename"))
+    none = named.limit(0).select("filename", *[F.lit(None).cast("date").alias(name) for name in control.SECTIONS])
+    tracker = control.mark_section(store.read("filetracker", none), section, named, as_of)
+    store.write("filetracker", tracker, f"{run}/{section}")
+
+
+def load_release(
+    store: Snapshots, filename: str, folder: str, checkpoint: str, as_of: dt.date, run: str, **options
+) -> DataFrame:
+    """Ingest the fragments of a release, count their codes, and date section 2 of its file when all are in."""
+    register = ingest.ingest_fragments(store.spark, folder, store, checkpoint, as_of, run, count_codes=True, **options)
+    mark_section(store, "section2", filename, as_of, run)
+    return register
+
+
+def _write_month(store: Snapshots, name: str, before: DataFrame, month: DataFrame, file_date: dt.date, run: str) -> None:
+    """Replace a month of a stored table: its part alone, if the table is laid out by ``file_date``."""
+    if name in store.parts:
+        store.write(name, month.select(*before.columns), run, parts=[str(file_date)])
+    else:
+        store.write(name, codes.replace_month(before, month, file_date), run)
+
+
+def run_derived_tables(
+    store: Snapshots, as_of: dt.date, run: str, file_date: dt.date | None = None, category: Column | None = None
+) -> bool:
+    """Refresh all derived tables from the register, if a file is waiting.
 
     Expects the tables ``register, organisation, sic_code, sic_counts,
     category_totals, code_analytics, category_analytics, geo_location,
     post_code_mappings, sic_code_categories, filetracker`` in ``store``. Rows
-    that have no key go to ``sic_code_rejects`` and ``geo_location_rejects``. A
-    run that died half-way may be started again under the same name: finished
-    tables are kept, the others are written.
+    that have no key go to a table of the same name with ``_rejects``.
+
+    With ``file_date`` the counts and totals of that month are replaced first, by
+    the sum of ``fragment_counts`` of this ``run`` if the ingest left any, else by a
+    count of the register. With a table ``rowcounts`` the month is reconciled at last, from
+    what was counted as the tables were written.
+
+    The run reads the versions that were newest when it started. One that died half-way
+    may be started again under the same name: it reads the same versions, keeps the
+    tables it has finished and writes the others. What came into the register in between
+    stays there, with its addresses refreshed, and is left to the next run.
     """
-    tracker = store.read("filetracker")
-    if store.finished("filetracker", run) or not control.any_ready(tracker):
+    if store.finished("filetracker", run):
+        return False
+    if not store.pinned(run) and not control.any_ready(store.read("filetracker")):
         return False
+    pins = store.pin(run, INPUTS)
+
+    def before(name: str) -> DataFrame:
+        return store.read(name, version=pins[name])
+
+    def now(name: str) -> DataFrame:
+        return store.read(name, version=store.version_of(name, run)) if store.finished(name, run) else before(name)
+
+    register = before("register")
+    if file_date is not None:
+        month = _month(register, before("fragment_counts") if pins["fragment_counts"] >= 0 else None, run, file_date, category)
+        if not store.finished("sic_counts", run):
+            _write_month(store, "sic_counts", before("sic_counts"), month, file_date, run)
+        if not store.finished("category_totals", run):
+            counted = now("sic_counts").filter(F.col("file_date") == F.lit(file_date))
+            _write_month(store, "category_totals", before("category_totals"), codes.category_totals(counted), file_date, run)
 
-    register = store.read("register")
     if not store.finished("organisation", run):
-        merged = organisations.upsert_organisation(
-            store.read("organisation"), register, as_of, unique=True
-        )
-        store.write("organisation", merged.next, run, clustered=True)
+        merged = organisations.upsert_organisation(before("organisation"), register, as_of, unique=True)
+        home = F.col("country") == "UK"
+        changed = {CHANGED: reconcile.changed_count("last_modified_date", as_of, home)} if "country" in merged.next.columns else None
+        store.write("organisation", merged.next, run, clustered=True, count=changed)
 
     if not all(store.finished(name, run) for name in Codes._fields):
         refreshed = refresh_codes(
-            store.read("sic_code"),
-            store.read("code_analytics"),
-            store.read("category_analytics"),
+            before("sic_code"),
+            before("code_analytics"),
+            before("category_analytics"),
             register,
-            store.read("sic_counts"),
-            store.read("category_totals"),
-            store.read("sic_code_categories"),
+            now("sic_counts"),
+            now("category_totals"),
+            before("sic_code_categories"),
             as_of,
         )
+        changed = {CHANGED: reconcile.changed_count("date_last_modified", as_of)}
         for name, table in refreshed._asdict().items():
-            store.write(name, table, run, clustered=name == "sic_code")
+            codes_table = name == "sic_code"
+            store.write(name, table, run, clustered=codes_table, count=changed if codes_table else None)
 
+    mapping = before("post_code_mappings")
+    potential = {POTENTIAL: codes.potential_code_count()}
     if not store.finished("register", run):
-        refreshed = refresh_register_addresses(register, store.read("post_code_mappings"))
-        register = store.write("register", refreshed, run)
+        if store.version("register") != pins["register"]:
+            # The locations of this run are made from the register it started with.
+            store.write("register_of_run", refresh_register_addresses(register, mapping), run, count=potential)
+        store.write("register", refresh_register_addresses(store.read("register"), mapping), run, count=potential)
+    of_run = "register_of_run" if store.finished("register_of_run", run) else "register"
+    refreshed = now(of_run)
     # The organisations were just taken from this register, so every row has its
     # parent and the check would only cost a join.
     if not store.finished("geo_location", run):
-        merged = refresh_locations(store.read("geo_location"), register, as_of)
+        merged = refresh_locations(before("geo_location"), refreshed, as_of)
         store.write("geo_location_rejects", merged.rejects, run)
-        store.write("geo_location", merged.next, run)
+        changed = {CHANGED: reconcile.changed_count("date_last_modified", as_of, locations.is_home_head_office())}
+        store.write("geo_location", merged.next, run, count=changed)
 
-    store.write("filetracker", control.mark_done(tracker, as_of), run)
+    if store.version("rowcounts") >= 0 and not store.finished("rowcounts", run):
+        counts = {POTENTIAL: store.counted(of_run, run)[POTENTIAL]}
+        counts |= {column: store.counted(name, run).get(CHANGED, 0) for name, column in RECONCILED.items()}
+        store.write("rowcounts", reconcile.set_counts(store.read("rowcounts"), counts, as_of), run)
+
+    store.write("filetracker", control.mark_done(store.read("filetracker"), as_of, before("filetracker")), run)
     return True
+
+
+def _month(register: DataFrame, fragments: DataFrame | None, run: str, file_date: dt.date, category: Column | None) -> DataFrame:
+    if fragments is not None and not fragments.filter(F.col("release") == run).isEmpty():
+        return codes.month_from_fragments(fragments, run, F.lit(file_date), category)
+    return codes.monthly_code_counts(register, F.lit(file_date), category)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.operators import codes
 from rollbook.operators.registers import KEY, empty_register, upsert_register
 from rollbook.sources.register import READ_OPTIONS, land
 from rollbook.sources.schema import FILE_SCHEMA, REGISTER_NAMES
@@ -16,6 +17,7 @@ from rollbook.sources.snapshots import Snapshots
 
 REGISTER = "register"
 REJECTS = "register_rejects"
+FRAGMENT_COUNTS = "fragment_counts"
 #: The text of a record that has more or fewer fields than the file has columns.
 MALFORMED = "malformed"
 #: Of several records of one company the last of these is taken.
@@ -62,18 +64,26 @@ def ingest_fragments(
     clean_source: str = "off",
     archive: str | None = None,
     multi_line: bool = True,
+    count_codes: bool = False,
 ) -> DataFrame:
     """Merge all files not seen before into the register; return its newest version.
 
-    Each batch writes the register anew, so few large batches cost less than
-    many small ones: leave ``files_per_batch`` open unless memory or a wish for
-    early results says otherwise. The result does not depend on it: for a company
-    that occurs twice, the newest file wins, and within a file the last record.
+    Where the store lays the register out in parts of its key, a batch reads and
+    writes the parts that it touches. Otherwise each batch writes the register anew, so
+    few large batches cost less than many small ones: leave ``files_per_batch`` open
+    unless memory or a wish for early results says otherwise. The result does not
+    depend on it: for a company that occurs twice, the newest file wins, and within a
+    file the last record.
 
     A batch is parsed once, into a landing folder beside the tables, and merged
-    from there. The checkpoint remembers handled files; its identity and the batch
-    number name the version, so a batch that is played again after a failure
-    changes nothing, and a new checkpoint never passes for one that is done.
+    from there. Every stream has two such folders in turn, so the landing of the batch
+    before stays readable while one is written. The checkpoint remembers handled files;
+    its identity and the batch number name the version, so a batch that is played again
+    after a failure changes nothing, and a new checkpoint never passes for one that is done.
+
+    With ``count_codes`` the codes of active companies are counted from the batch, per
+    file, into the table ``fragment_counts``. A file that comes again under the same
+    ``run`` replaces its own counts.
 
     Records without a company number, and malformed ones (more or fewer fields than
     columns) with their text, go to ``register_rejects``, one version per batch that
@@ -85,19 +95,19 @@ def ingest_fragments(
         name = f"{run}/{json.loads(stream)['id']}/{number}"
         if store.finished(REGISTER, name):
             return
-        landed = land(batch.withColumn(ORDER[3], F.monotonically_increasing_id()), f"{store.root}/_landing")
+        landing = f"{store.root}/_landing/{json.loads(stream)['id']}/{number % 2}"
+        landed = land(batch.withColumn(ORDER[3], F.monotonically_increasing_id()), landing)
         bad = F.col(KEY).isNull() | F.col(MALFORMED).isNotNull()
         rejects = landed.filter(bad)
         if not rejects.isEmpty():
             store.write(REJECTS, rejects, name)
-        merged = upsert_register(
-            store.read(REGISTER, empty_register(spark)),
-            landed.filter(~bad).drop(MALFORMED),
-            as_of,
-            source=F.col("file_name"),
-            order=ORDER,
-        )
-        store.write(REGISTER, merged.next, name, clustered=True)
+        if count_codes:
+            _write_counts(store, landed.filter(F.col(MALFORMED).isNull()), run, name)
+        rows = landed.filter(~bad).drop(MALFORMED)
+        parts = store.touched(REGISTER, rows) if REGISTER in store.parts else None
+        target = store.read(REGISTER, empty_register(spark), parts=parts)
+        merged = upsert_register(target, rows, as_of, source=F.col("file_name"), order=ORDER)
+        store.write(REGISTER, merged.next, name, clustered=True, parts=parts)
 
     query = (
         stream_fragments(spark, folder, files_per_batch, clean_source, archive, multi_line)
@@ -108,3 +118,12 @@ def ingest_fragments(
     )
     query.awaitTermination()
     return store.read(REGISTER, empty_register(spark))
+
+
+def _write_counts(store: Snapshots, landed: DataFrame, run: str, name: str) -> None:
+    """Put the batch's counts in the place of those that its files had before."""
+    files = landed.select(F.lit(run).alias("release"), "file_name").distinct()
+    parts = store.touched(FRAGMENT_COUNTS, files) if FRAGMENT_COUNTS in store.parts else None
+    counts = codes.fragment_counts(landed, run)
+    before = store.read(FRAGMENT_COUNTS, counts.limit(0), parts=parts)
+    store.write(FRAGMENT_COUNTS, codes.replace_fragments(before, counts, files), name, parts=parts)

@@ -8,8 +8,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators import registers
-from rollbook.sources.snapshots import Snapshots
+from rollbook.operators import codes, registers
+from rollbook.sources.snapshots import Parts, Snapshots, hash_parts
 from rollbook.streaming import ingest
 from tests.test_files import write_file
 
@@ -191,3 +191,77 @@ def test_bucketed_register_is_not_shuffled(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for version in (0, 1):
             spark.sql(f"drop table if exists bucketed_register_{version:08d}")
+
+
+def test_batch_touches_its_parts_only(spark, tmp_path):
+    root = tmp_path / "parts"
+    store = Snapshots(spark, str(root), parts={"register": hash_parts("company_number", 32)})
+    rows = spark.range(6400).select(F.lpad(F.col("id").cast("string"), 8, "0").alias("company_number"), F.sha2(F.col("id").cast("string"), 256).alias("company_name"))
+    whole = registers.upsert_register(registers.empty_register(spark), rows, AS_OF).next
+    store.write("register", whole, "all")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    arrive(folder, "part_1.csv", [company("00000007", "CHANGED"), company("NEW", "N")], 1)
+    register = ingest.ingest_fragments(spark, str(folder), store, str(tmp_path / "c"), AS_OF, "r")
+    assert register.count() == 6401
+    found = names(register.filter("company_number in ('00000007', 'NEW', '00000008')"))
+    assert found["00000007"] == "CHANGED" and found["NEW"] == "N" and found["00000008"] not in ("CHANGED", "N")
+
+    def size(version):
+        return sum(path.stat().st_size for path in (root / "register" / f"version={version:08d}").rglob("*.parquet"))
+
+    parts = list((root / "register" / "version=00000001").glob("part=*"))
+    assert len(parts) == 2 and size(1) < size(0) / 5
+    # Only the parts that a batch touches are read for it.
+    target = store.read("register", parts=["p3"])
+    read = {row.path for row in target.select(F.regexp_extract("_metadata.file_path", "part=([^/]+)/", 1).alias("path")).distinct().collect()}
+    assert read == {"p3"}
+    assert Snapshots(spark, str(root), parts=store.parts).read("register").exceptAll(register).isEmpty()
+    assert store.read("register", version=0).exceptAll(whole.select(*whole.columns)).isEmpty()
+
+
+def test_parts_may_become_empty(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path), parts={"t": Parts("month")})
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, month string")
+    store.write("t", rows, "1")
+    after = store.write("t", rows.limit(0), "2", parts=["a"])
+    assert sorted((row.n, row.month) for row in after.collect()) == [(2, "b"), (3, None)]
+    assert store.write("t", rows.filter("n = 1"), "3").collect() == [(1, "a")]
+    assert store.read("t", version=1).count() == 2
+    empty = Snapshots(spark, str(tmp_path / "e"), parts={"t": Parts("month")})
+    assert empty.write("t", rows.limit(0), "1").count() == 0
+    with pytest.raises(ValueError):
+        Snapshots(spark, str(tmp_path / "x")).write("t", rows, "1", parts=["a"])
+
+
+def test_counts_of_fragments_in_any_order_and_twice(spark, tmp_path):
+    """One of the fragments comes a second time, with other records."""
+    texts = [("10 - A", "Active"), ("10 - A", "Active"), ("20 - B", "Liquidation"), ("30 - C", "Active")]
+    records = [company(str(i), "c", sic_text_1=text, company_status=status) for i, (text, status) in enumerate(texts * 3)]
+    final = None
+    for label, order in {"ab": [(1, 0, 6), (2, 6, 12)], "ba": [(2, 6, 12), (1, 0, 6)], "twice": [(1, 2, 9), (2, 6, 12), (1, 0, 6)], "gone": [(1, 0, 6), (2, 6, 12), (3, 0, 4), (3, 2, 3)]}.items():
+        folder = tmp_path / label
+        folder.mkdir()
+        store = Snapshots(spark, str(tmp_path / label / "tables"), parts={"fragment_counts": hash_parts("file_name", 4)} if label == "twice" else None)
+        for minute, (number, start, stop) in enumerate(order):
+            # A file that comes again has its name in a folder of its own.
+            (folder / f"in{minute}").mkdir()
+            arrive(folder / f"in{minute}", f"part_{number}.csv", records[start:stop], minute)
+            ingest.ingest_fragments(spark, str(folder / f"in{minute}"), store, str(folder / f"c{minute}"), AS_OF, "r", count_codes=True)
+        counts = codes.month_from_fragments(store.read("fragment_counts"), "r", F.lit(AS_OF.date()))
+        found = {row.sic_code: row.counts for row in counts.collect()}
+        final = final or found
+        assert found == final == {"10": 6, "30": 3}
+
+
+def test_landing_of_the_batch_before_stays(spark, tmp_path, folder, monkeypatch):
+    store, _ = run(spark, tmp_path, folder, "landing")
+    landed = {path for path in (tmp_path / "landing" / "tables" / "_landing").rglob("*.parquet")}
+    arrive(folder, "part_4.csv", [company("05", "E")], 4)
+    monkeypatch.setattr(ingest, "upsert_register", lambda *a, **b: 1 / 0)
+    with pytest.raises(Exception):
+        run(spark, tmp_path, folder, "landing", store)
+    assert all(path.exists() for path in landed)
+    monkeypatch.undo()
+    _, register = run(spark, tmp_path, folder, "landing", Snapshots(spark, store.root))
+    assert names(register) == FINAL | {"05": "E"}
