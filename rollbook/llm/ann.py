@@ -11,7 +11,10 @@ answer it with ``k`` walks on until they do.
 Equal vectors are searched once: of each only the ``k`` + 1 smallest ids can be
 among the ``k`` nearest, ties going to the smaller id, and so no more are kept. A
 leaf is cut into blocks by a hash of the vector, and its queries likewise, so no
-task holds a whole leaf; each block returns its ``k`` + 1 nearest.
+task holds a whole leaf. The first ``FIRST_LEAVES`` of a query return their ``k`` + 1
+nearest each and so a bound on the ``k``-th distance. Of the leaves after them those
+are skipped whose radius does not reach within the bound, and the others return only
+what lies within it, so rows written grow with the queries and not with the leaves.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite numbers take
 no part, nor do those of another length than the most frequent one (the larger, if
@@ -26,6 +29,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +44,12 @@ LEAF_SAMPLE = 32
 ROUNDS = 8
 CALIBRATION_QUERIES = 200
 TARGET_RECALL = 0.98
+#: Leaves that are searched without a bound.
+FIRST_LEAVES = 4
 #: Vectors, and queries, that one task compares at once.
 BLOCK_VECTORS = 8_192
 BLOCK_QUERIES = 1_024
+PATHS = "key string, vec array<double>, leaves array<int>, bound double"
 
 
 @dataclass
@@ -152,13 +159,15 @@ def _with_leaf(classes: DataFrame, tree: Tree) -> DataFrame:
     return classes.mapInArrow(task, "key string, ids array<long>, vec array<double>, leaf int")
 
 
-def _closest(queries: np.ndarray, vectors: np.ndarray, keep: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query its nearest vectors and their distances, all that tie with the last one too."""
+def _closest(queries: np.ndarray, vectors: np.ndarray, keep: int, bounds: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per query its nearest vectors and their distances, all that tie with the last one too; none beyond its bound."""
     step = max(1, 2_000_000 // max(1, vectors.size))
     for low in range(0, len(queries), step):
         gap = queries[low : low + step, None, :] - vectors[None]
         distance = np.sqrt(np.einsum("qvd,qvd->qv", gap, gap))
         last = np.partition(distance, keep - 1, axis=1)[:, keep - 1] if distance.shape[1] > keep else np.full(len(distance), np.inf)
+        if bounds is not None:
+            last = np.minimum(last, bounds[low : low + step])
         for i, row in enumerate(distance):
             near = np.flatnonzero(row <= last[i])
             yield low + i, near, row[near]
@@ -220,17 +229,53 @@ def _path(tree: Tree, query: np.ndarray, visits: int, held: dict[int, int], leas
     return path
 
 
-def _visits(queries: DataFrame, tree: Tree, visits: int, held: dict[int, int], least: int) -> DataFrame:
-    sent = queries.sparkSession.sparkContext.broadcast((tree, held))
+def _radii(indexed: DataFrame, tree: Tree) -> dict[int, float]:
+    """The greatest distance of a leaf's vectors from its centre; the tree bounds how many there are."""
+    sent = indexed.sparkSession.sparkContext.broadcast(tree)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = batch.column("leaf").to_numpy()
+            away = np.sqrt(((_matrix(batch.column("vec")) - sent.value.centres[leaf]) ** 2).sum(axis=1)) if len(leaf) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("leaf"), pa.array(away)], ["leaf", "away"])
+
+    away = indexed.select("vec", "leaf").mapInArrow(task, "leaf int, away double").groupBy("leaf").agg(F.max("away").alias("away"))
+    return {r["leaf"]: r["away"] for r in away.collect()}
+
+
+def _first_visits(queries: DataFrame, tree: Tree, first: int) -> DataFrame:
+    """(key, vec, leaves, bound): the leaves that are searched without a bound."""
+    sent = queries.sparkSession.sparkContext.broadcast(tree)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [list(islice(sent.value.leaves(q), first)) for q in _matrix(batch.column("vec"))]
+            bound = pa.array([None] * len(found), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32())), bound], ["key", "vec", "leaves", "bound"])
+
+    return queries.select("key", "vec").mapInArrow(task, PATHS)
+
+
+def _visits(bounded: DataFrame, tree: Tree, visits: int, held: dict[int, int], least: int, radii: dict[int, float], first: int) -> DataFrame:
+    """(key, vec, leaves, bound): the leaves after the first ones, as far as the bound lets them matter."""
+    sent = bounded.sparkSession.sparkContext.broadcast((tree, held, radii))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, held, radii = sent.value
+        slack = 1 + 1e-9
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                found = [_path(sent.value[0], q, visits, sent.value[1], least) for q in _matrix(part.column("vec"))]
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("vec"), pa.array(found, pa.list_(pa.int32()))], ["key", "vec", "leaves"])
+                found = []
+                for query, bound in zip(_matrix(part.column("vec")), part.column("bound").to_pylist(), strict=True):
+                    path = np.array(_path(tree, query, visits, held, least)[first:], np.int64)
+                    if bound is not None and len(path):
+                        away = np.sqrt(((tree.centres[path] - query) ** 2).sum(axis=1))
+                        path = path[away <= (bound + np.array([radii.get(leaf, -np.inf) for leaf in path.tolist()])) * slack]
+                    found.append(path.tolist())
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("vec"), pa.array(found, pa.list_(pa.int32())), part.column("bound")], ["key", "vec", "leaves", "bound"])
 
-    return queries.select("key", "vec").mapInArrow(task, "key string, vec array<double>, leaves array<int>")
+    return bounded.select("key", "vec", "bound").mapInArrow(task, PATHS)
 
 
 def _needed(rows: list[tuple[float, int]], k: int) -> tuple[list[tuple[float, int]], bool]:
@@ -253,17 +298,28 @@ def _compare(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     vectors, queries = _matrix(left.column("vec").combine_chunks()), _matrix(right.column("vec").combine_chunks())
     ids, keys = left.column("ids").to_pylist(), right.column("key").to_pylist()
     out: list[tuple[str, int, float]] = []
+    bounds = right.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)
+    bounds = np.where(np.isnan(bounds), np.inf, bounds)
     if len(vectors) and len(queries):
-        for q, near, distance in _closest(queries, vectors, k + 1):
+        for q, near, distance in _closest(queries, vectors, k + 1, bounds):
             found, enough = _needed(sorted((d, i) for v, d in zip(near.tolist(), distance.tolist(), strict=True) for i in ids[v]), k)
-            if not enough and len(near) < len(vectors):
+            if not enough and k < len(near) < len(vectors):
                 # Many vectors of one id are in front.
-                _, near, distance = next(_closest(queries[q : q + 1], vectors, len(vectors)))
+                _, near, distance = next(_closest(queries[q : q + 1], vectors, len(vectors), bounds[q : q + 1]))
                 found, _ = _needed(sorted((d, i) for v, d in zip(near.tolist(), distance.tolist(), strict=True) for i in ids[v]), k)
             out += [(keys[q], i, d) for d, i in found]
     return pa.table({"key": strings([x[0] for x in out]), "id": pa.array([x[1] for x in out], pa.int64()), "score": pa.array([x[2] for x in out], pa.float64())})
 
 
+def _reduced(near: DataFrame, k: int) -> DataFrame:
+    """As in a block: a row is needed if less than k of the rows before it are of other ids than the asking one."""
+    best = Window.partitionBy("key").orderBy("score", "id")
+    near = near.withColumn("n", F.row_number().over(best)).withColumn("of_id", F.row_number().over(Window.partitionBy("key", "id").orderBy("score")))
+    most = F.coalesce(F.max("of_id").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = near.withColumn("others", F.col("n") - 1 - most).where((F.col("others") < k) & (F.col("of_id") <= k))
+    return near.select("key", "id", "score", "of_id")
+
+
 def _counts(rows: DataFrame) -> dict[int, int]:
     """Rows per leaf; the tree bounds how many there are."""
     return {r["leaf"]: r["rows"] for r in rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()}
@@ -275,6 +331,24 @@ def _block_count(counts: dict[int, int], most: int):
     return F.coalesce(F.element_at(F.create_map(*many), F.col("leaf")), F.lit(1)) if many else F.lit(1)
 
 
+def _searched(indexed: DataFrame, paths: DataFrame, leaf_rows: dict[int, int], k: int, seed: int) -> DataFrame:
+    """(key, id, score): what the leaves of the paths return."""
+    visited = paths.select("key", "vec", "bound", F.explode("leaves").alias("leaf"))
+    vector_blocks = _block_count(leaf_rows, BLOCK_VECTORS)
+    query_blocks = _block_count(_counts(visited), BLOCK_QUERIES)
+
+    def every(blocks):
+        return F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
+
+    one = F.pmod(F.xxhash64(F.lit(seed), "key"), vector_blocks.cast("long")).cast("int")
+    other = F.pmod(F.xxhash64(F.lit(seed), "key"), query_blocks.cast("long")).cast("int")
+    left = indexed.withColumn("vblock", one).withColumn("qblock", every(query_blocks))
+    right = visited.withColumn("qblock", other).withColumn("vblock", every(vector_blocks))
+    by = ["leaf", "vblock", "qblock"]
+    pairs = left.groupBy(*by).cogroup(right.groupBy(*by))
+    return pairs.applyInArrow(lambda a, b: _compare(a, b, k), "key string, id long, score double")
+
+
 def nearest(rows: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: str = "embedding", target: float = TARGET_RECALL, seed: int = 17) -> DataFrame:
     """The k nearest rows of every row that fulfils ``is_query`` (a condition on ``key``).
 
@@ -292,30 +366,18 @@ def nearest(rows: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector:
     indexed = write_scratch(_with_leaf(plain, tree), "leaves")
     queries = write_scratch(indexed.join(asked.select("key").distinct(), "key", "left_semi").select("key", "vec"), "queries")
     visits = _calibrate(indexed, queries, tree, k, target, seed + 1)
-    paths = write_scratch(_visits(queries, tree, visits, _held(indexed), k + 1), "paths")
-    visited = paths.select("key", "vec", F.explode("leaves").alias("leaf"))
-    vector_blocks = _block_count(_counts(indexed), BLOCK_VECTORS)
-    query_blocks = _block_count(_counts(visited), BLOCK_QUERIES)
-
-    def every(blocks):
-        return F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
-
-    one = F.pmod(F.xxhash64(F.lit(seed), "key"), vector_blocks.cast("long")).cast("int")
-    other = F.pmod(F.xxhash64(F.lit(seed), "key"), query_blocks.cast("long")).cast("int")
-    left = indexed.withColumn("vblock", one).withColumn("qblock", every(query_blocks))
-    right = visited.withColumn("qblock", other).withColumn("vblock", every(vector_blocks))
-    by = ["leaf", "vblock", "qblock"]
-    near = (
-        left.groupBy(*by)
-        .cogroup(right.groupBy(*by))
-        .applyInArrow(lambda a, b: _compare(a, b, k), "key string, id long, score double")
-    )
-    # As in a block: a row is needed if less than k of the rows before it are of other ids than the asking one.
-    best = Window.partitionBy("key").orderBy("score", "id")
-    near = near.withColumn("n", F.row_number().over(best)).withColumn("of_id", F.row_number().over(Window.partitionBy("key", "id").orderBy("score")))
-    most = F.coalesce(F.max("of_id").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    near = near.withColumn("others", F.col("n") - 1 - most).where((F.col("others") < k) & (F.col("of_id") <= k)).drop("n", "of_id", "others")
-    near = near.join(paths.select("key", F.size("leaves").alias("leaves_visited")), "key")
+    leaf_rows = _counts(indexed)
+    without_bound = min(FIRST_LEAVES, visits)
+    first = write_scratch(_first_visits(queries, tree, without_bound), "first_paths")
+    near = write_scratch(_reduced(_searched(indexed, first, leaf_rows, k, seed), k), "first_near")
+    enough = F.count(F.lit(1)) - F.max("of_id") >= k
+    bounds = near.groupBy("key").agg(F.when(enough, F.max("score")).alias("bound"))
+    bounded = queries.join(bounds, "key", "left")
+    paths = write_scratch(_visits(bounded, tree, visits, _held(indexed), k + 1, _radii(indexed, tree), without_bound), "paths")
+    near = near.drop("of_id").unionByName(_searched(indexed, paths, leaf_rows, k, seed))
+    near = _reduced(near, k).drop("of_id")
+    both = first.select("key", "leaves").unionByName(paths.select("key", "leaves"))
+    near = near.join(both.groupBy("key").agg(F.sum(F.size("leaves")).cast("int").alias("leaves_visited")), "key")
     order = Window.partitionBy("query_id", "key").orderBy("score", "id")
     return (
         asked.withColumnRenamed("id", "query_id")
