@@ -6,12 +6,14 @@ else in the corpus, in the same text or another. Matches never cross texts.
 Of each window of ``LENGTH`` bytes one suffix is indexed: the one whose first
 ``PREFIX`` bytes have the least fingerprint (the leftmost on ties). The choice
 depends on the window's bytes alone, so equal windows choose the same suffix, and
-about two suffixes per ``LENGTH - PREFIX`` bytes are indexed instead of all. Each
-batch of documents gets such a sparse suffix array: its suffixes in the order of
-the fingerprints of their prefixes. Only equal prefixes matter here, so the order
-is that of the fingerprints, not of the bytes. The array is merge-scanned (a sort
-merge join) against the levels of the family; prefixes found twice are hits, and
-levels of equal rank merge into one of the next rank before the next batch comes.
+about two suffixes per ``LENGTH - PREFIX`` bytes are indexed instead of all. The
+documents are dealt into batches by size. Each batch gets such a sparse suffix array:
+its suffixes in the order of the fingerprints of their prefixes. Only equal prefixes
+matter here, so the order is that of the fingerprints, not of the bytes. The array is
+merge-scanned (a sort merge join) against the levels of the family; prefixes found
+twice are hits, and levels of equal rank merge into one of the next rank before the
+next batch comes. The index holds eight bytes a suffix; the blocks of the hits are
+found again in a second pass over the texts.
 
 Hits are then made exact. The windows that chose one suffix are a block. Equal blocks
 are repeated as a whole; of the others with the same suffix, all windows are looked
@@ -39,8 +41,10 @@ from pyspark.sql import types as T
 from rollbook.llm.common import RollingHash, checked_broadcast, pieces, text_bytes, write_scratch
 
 LENGTH = 200
-PREFIX = 96
-BATCHES = 2
+PREFIX = 64
+#: Text of one batch, and the most batches that a table is cut into; larger tables have larger batches.
+BATCH_BYTES = 256_000_000
+MOST_BATCHES = 16
 #: Bits of a sort key that hold the position within a piece of text.
 PLACE_BITS = 28
 #: Hit suffixes, and wanted blocks, up to which they are broadcast instead of shuffled with the rows they meet.
@@ -100,8 +104,29 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, prefix:
     }
 
 
-def _entries(docs: DataFrame, batches: int) -> DataFrame:
-    """All blocks of all documents, with the number of their batch."""
+def _long_texts(docs: DataFrame) -> DataFrame:
+    return docs.where(F.octet_length("text") >= LENGTH).select(F.col("text").cast("string").alias("text"), _ID, _MARK)
+
+
+def _batch_count(docs: DataFrame) -> int:
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return min(max(1, -(-total // BATCH_BYTES)), MOST_BATCHES)
+
+
+def _suffixes(docs: DataFrame, batches: int) -> DataFrame:
+    """(suffix, batch): the chosen suffixes of all documents, with the number of their batch."""
+
+    def task(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(rows):
+            found = blocks(*text_bytes(piece.column("text")))
+            yield pa.RecordBatch.from_arrays([pa.array(found["suffix"]), piece.column("batch").take(pa.array(found["row"]))], ["suffix", "batch"])
+
+    batch = F.pmod(F.xxhash64(F.lit(1), _ID, _MARK), F.lit(batches)).cast("int").alias("batch")
+    return _long_texts(docs).select("text", batch).mapInArrow(task, "suffix long, batch int")
+
+
+def _entries(docs: DataFrame) -> DataFrame:
+    """All blocks of all documents; cheaper to find again than to keep."""
 
     def task(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(rows):
@@ -116,13 +141,11 @@ def _entries(docs: DataFrame, batches: int) -> DataFrame:
                 [_ID, _MARK, "start", "run", "suffix", "block"],
             )
 
-    kind = f"{_ID} long, {_MARK} long, start int, run int, suffix long, block long"
-    texts = docs.where(F.octet_length("text") >= LENGTH).select(F.col("text").cast("string").alias("text"), _ID, _MARK)
-    return texts.mapInArrow(task, kind).withColumn("batch", F.pmod(F.xxhash64(F.lit(1), _ID, _MARK), F.lit(batches)).cast("int"))
+    return _long_texts(docs).mapInArrow(task, f"{_ID} long, {_MARK} long, start int, run int, suffix long, block long")
 
 
 class SuffixLevels:
-    """Levels of sorted suffix tables (suffix, n); a level of rank r holds 2 ** r batches."""
+    """Levels of sorted tables of distinct suffixes; a level of rank r holds 2 ** r batches."""
 
     def __init__(self) -> None:
         self.levels: list[tuple[int, DataFrame]] = []
@@ -131,25 +154,24 @@ class SuffixLevels:
         """Merge levels of equal rank, least first, until all ranks differ."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (rank, one), (_, other) = self.levels.pop(), self.levels.pop()
-            merged = one.unionByName(other).groupBy("suffix").agg(F.sum("n").alias("n"))
+            merged = one.unionByName(other).distinct()
             self.levels.append((rank + 1, write_scratch(merged.sortWithinPartitions("suffix"), "level")))
 
     def add(self, suffixes: DataFrame) -> DataFrame:
         """Index a batch's suffixes; returns those that occur in it twice or in a level."""
         self._settle()
-        counted = suffixes.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"))
+        counted = suffixes.groupBy("suffix").agg((F.count(F.lit(1)) > 1).alias("twice"))
         new = write_scratch(counted.sortWithinPartitions("suffix"), "level")
-        hits = new.where("n > 1").select("suffix")
+        hits = new.where("twice").select("suffix")
         for _, level in self.levels:
-            hits = hits.unionByName(new.where("n = 1").select("suffix").join(level.select("suffix"), "suffix"))
-        self.levels.append((0, new))
+            hits = hits.unionByName(new.where("NOT twice").select("suffix").join(level, "suffix"))
+        self.levels.append((0, new.select("suffix")))
         return hits
 
 
 def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(block, hashes): the fingerprints of all windows of the wanted blocks."""
-    lists = wanted.groupBy(_ID, _MARK).agg(F.collect_list(F.struct("start", "run", "block")).alias("wanted"))
-    texts = docs.select(F.col("text").cast("string").alias("text"), _ID, _MARK).where(F.octet_length("text") >= LENGTH)
+    """(suffix, block, hashes): the fingerprints of all windows of the wanted blocks."""
+    lists = wanted.groupBy(_ID, _MARK).agg(F.collect_list(F.struct("start", "run", "suffix", "block")).alias("wanted"))
 
     def task(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(rows):
@@ -163,34 +185,40 @@ def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             ends = np.cumsum(count)
             at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
             hashes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(windows[at].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([flat.field("block"), hashes], ["block", "hashes"])
+            yield pa.RecordBatch.from_arrays([flat.field("suffix"), flat.field("block"), hashes], ["suffix", "block", "hashes"])
 
-    return texts.join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "block long, hashes array<long>")
+    return _long_texts(docs).join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "suffix long, block long, hashes array<long>")
 
 
 def _repeated_windows(docs: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(block, windows): which windows of the given blocks occur in another of them."""
+    """(block, windows): which windows of the given blocks occur in another of them.
+
+    Equal windows have chosen equal suffixes, so they are known by two fingerprints.
+    """
     rows = _window_rows(docs, kinds.select("suffix", "block", "place.*"))
     # A block's fingerprint covers its suffix, so it names the block alone.
-    windows = write_scratch(rows.select("block", F.posexplode("hashes").alias("at", "hash")), "windows")
+    windows = write_scratch(rows.select("suffix", "block", F.posexplode("hashes").alias("at", "hash")), "windows")
     # Equal rows share a name, so one window may come several times; two places are needed.
     place = F.xxhash64("block", "at")
-    twice = windows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash")
-    return windows.join(twice, "hash").groupBy("block").agg(F.collect_set("at").alias("windows"))
+    twice = windows.groupBy("suffix", "hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("suffix", "hash")
+    return windows.join(twice, ["suffix", "hash"]).groupBy("block").agg(F.collect_set("at").alias("windows"))
 
 
-def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+def repeated_spans(docs: DataFrame, batches: int | None = None) -> DataFrame:
     """(suffix_id, suffix_mark, spans): per named row the stretches of repeated windows, as (start, run)."""
-    entries = write_scratch(_entries(docs, batches), "entries", "batch")
+    batches = batches or _batch_count(docs)
+    suffixes = write_scratch(_suffixes(docs, batches), "suffixes", "batch")
     family, hits = SuffixLevels(), None
     for batch in range(batches):
-        new = family.add(entries.where(F.col("batch") == batch).select("suffix"))
+        new = family.add(suffixes.where(F.col("batch") == batch).select("suffix"))
         hits = new if hits is None else hits.unionByName(new)
     hits = write_scratch(hits.distinct(), "hits")
-    members = entries.drop("batch").join(checked_broadcast(hits, BROADCAST_SUFFIXES), "suffix")
+    members = _entries(docs).join(checked_broadcast(hits, BROADCAST_SUFFIXES), "suffix")
+    # Equal rows share a name; from here on they are one row and a count.
+    members = members.groupBy(_ID, _MARK, "start", "run", "suffix", "block").agg(F.count(F.lit(1)).alias("copies"))
     members = write_scratch(members, "members")
     kinds = members.groupBy("suffix", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(_ID, _MARK, "start", "run")).alias("place")
+        F.sum("copies").alias("n"), F.min(F.struct(_ID, _MARK, "start", "run")).alias("place")
     )
     kinds = write_scratch(kinds, "kinds")
     several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("suffix")
@@ -198,7 +226,7 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     whole = kinds.where("n > 1").select("block", F.lit(None).cast("array<int>").alias("windows"))
     single = partly.join(kinds.where("n = 1").select("block"), "block")
     repeated = whole.unionByName(single.select("block", F.array_sort("windows").alias("windows")))
-    spans = members.join(repeated, "block").select(_ID, _MARK, "start", F.struct("start", "run", "windows").alias("span"))
+    spans = members.join(repeated, "block").select(_ID, _MARK, F.struct("start", "run", "windows").alias("span"))
     return spans.groupBy(_ID, _MARK).agg(F.collect_list("span").alias("spans"))
 
 
@@ -226,7 +254,7 @@ def _whole_characters(data: np.ndarray, keep: np.ndarray) -> np.ndarray:
     return ~broken[character]
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, batches: int | None = None, as_text: bool = False) -> DataFrame:
     """The documents with what is left of ``text``, ``n_bytes``, ``n_removed`` and ``n_spans``.
 
     What is left is a binary column ``kept_bytes``, as a cut can fall within a
