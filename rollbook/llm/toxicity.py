@@ -6,13 +6,13 @@ own learning rate, and the L1 term leaves most weights at exactly 0, so the mode
 that is broadcast holds the few others. Scoring looks up all features of the whole
 text and counts each weighted coordinate once.
 
-Fitting reads a sample bounded by ``FIT_ROWS`` expected labelled rows per class
-(chosen by a hash); FTRL passes over that sample one row after the other, in order
+Fitting reads a sample bounded by ``FIT_ROWS`` expected labelled texts per class
+(chosen by a hash of the id, and of id and text where ids have several); FTRL passes over that sample one row after the other, in order
 of a hash, in one task whose input has this bound.
 
 Defined cases: a null or empty text has no features and gets the score of the bias
-alone; null labels teach nothing; labels other than 0 count as 1; a document with
-several label rows counts once per row; without labelled rows every score is 0.5
+alone; null labels teach nothing; labels other than 0 count as 1; repeated labels and
+repeated rows count once, and both of two labels of one document; without labelled rows every score is 0.5
 less a little, so that nothing is predicted toxic. Other columns are kept; ``score``
 and ``predicted`` must not be columns already.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.common import RollingHash, hash_below, mix, pieces, sample_share, spaced_bytes, word_spans
+from rollbook.llm.common import RollingHash, hash_below, mix, pieces, sample_share, spaced_bytes, word_spans, write_scratch
 
 FIT_ROWS = 5_000
 BUCKET_BITS = 20
@@ -105,19 +105,28 @@ def _ftrl(rows: list[tuple[int, np.ndarray]]) -> tuple[float, np.ndarray, np.nda
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", seed: int = 5) -> Model:
     """Learn ``toxic`` of the label rows from the texts with the same key.
 
-    The chosen label rows, 2 * FIT_ROWS expected, are broadcast to the texts.
+    The chosen labels, 2 * FIT_ROWS distinct ones expected, are broadcast to the texts.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), (F.col("toxic") != 0).cast("int").alias("toxic")
     )
+    known = write_scratch(known.distinct(), "labels")
     counts = {r["toxic"]: r["rows"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("rows")).collect()}
     if not counts:
         return Model(BEFORE_LEARNING, np.zeros(0, np.int64), np.zeros(0))
     chosen = F.lit(False)
     for toxic, rows in counts.items():
         chosen = chosen | ((F.col("toxic") == toxic) & hash_below(["key"], sample_share(rows, FIT_ROWS), seed))
-    texts = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
-    sample = texts.join(F.broadcast(known.where(chosen)), "key").withColumn("place", F.xxhash64(F.lit(seed + 1), "key"))
+    texts = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
+    labelled = texts.join(F.broadcast(known.where(chosen)), "key")
+    # An id may have very many texts: the chosen rows are counted once more, each text of an id by itself.
+    named = write_scratch(labelled.select("key", "mark", "toxic").distinct(), "labelled")
+    found = {r["toxic"]: r["rows"] for r in named.groupBy("toxic").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    taken = F.lit(False)
+    for toxic, rows in found.items():
+        taken = taken | ((F.col("toxic") == toxic) & hash_below(["key", "mark"], sample_share(rows, FIT_ROWS), seed + 2))
+    once = labelled.where(taken).groupBy("key", "mark", "toxic").agg(F.min("text").alias("text"))
+    sample = once.withColumn("place", F.xxhash64(F.lit(seed + 1), "key", "mark"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
