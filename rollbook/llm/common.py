@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollbook.session import scratch_folder
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
