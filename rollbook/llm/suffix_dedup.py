@@ -17,7 +17,7 @@ found again in a second pass over the texts.
 
 Hits are then made exact. The windows that chose one suffix are a block. Equal blocks
 are repeated as a whole; of the others with the same suffix, all windows are looked
-up by their own fingerprint, each distinct block once.
+up by their own fingerprint, each distinct block once, the blocks of a suffix together.
 
 Rows that meet in one task are counted within tasks first, and joins on a suffix are
 plain ones that Spark splits, so a passage in a third of all documents is no hot task.
@@ -50,6 +50,8 @@ PLACE_BITS = 28
 #: Hit suffixes, and wanted blocks, up to which they are broadcast instead of shuffled with the rows they meet.
 BROADCAST_SUFFIXES = 2_000_000
 BROADCAST_BLOCKS = 1_000_000
+#: Different blocks of one suffix that one task compares.
+MOST_KINDS = 2_000
 #: Stands for a null doc_id in joins.
 NO_ID = -(2**63)
 
@@ -190,18 +192,60 @@ def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return _long_texts(docs).join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "suffix long, block long, hashes array<long>")
 
 
+def _found_together(part: pa.RecordBatch) -> pa.RecordBatch:
+    """(block, windows) of the blocks of whole suffixes: their windows that occur a second time with that suffix."""
+    # Equal rows bring the same block again.
+    part = part.take(pa.array(np.sort(np.unique(part.column("block").to_numpy(), return_index=True)[1])))
+    count = part.column("hashes").value_lengths().to_numpy().astype(np.int64)
+    row, ends = np.repeat(np.arange(len(count)), count), np.cumsum(count)
+    values, suffix = part.column("hashes").flatten().to_numpy(), part.column("suffix").to_numpy()[row]
+    order = np.lexsort((values, suffix))
+    equal = (values[order][1:] == values[order][:-1]) & (suffix[order][1:] == suffix[order][:-1])
+    repeated = np.zeros(len(values), bool)
+    repeated[order[1:][equal]] = True
+    repeated[order[:-1][equal]] = True
+    at = (np.arange(len(values)) - np.repeat(ends - count, count))[repeated].astype(np.int32)
+    lengths = np.bincount(row[repeated], minlength=len(count))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(at))
+    some = pa.array(lengths > 0)
+    return pa.RecordBatch.from_arrays([part.column("block").filter(some), lists.filter(some)], ["block", "windows"])
+
+
 def _repeated_windows(docs: DataFrame, kinds: DataFrame) -> DataFrame:
     """(block, windows): which windows of the given blocks occur in another of them.
 
-    Equal windows have chosen equal suffixes, so they are known by two fingerprints.
+    Equal windows have chosen equal suffixes, so they are known by two fingerprints, and
+    the blocks of one suffix, MOST_KINDS at most, are compared in one task.
     """
     rows = _window_rows(docs, kinds.select("suffix", "block", "place.*"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            suffix = batch.column("suffix").to_numpy()
+            cut = int(np.searchsorted(suffix, suffix[-1])) if len(suffix) else 0
+            # The last suffix may go on in the next batch.
+            last = batch.slice(cut)
+            if cut:
+                yield _found_together(batch.slice(0, cut))
+        if last is not None and last.num_rows:
+            yield _found_together(last)
+
+    return rows.repartition("suffix").sortWithinPartitions("suffix").mapInArrow(task, "block long, windows array<int>")
+
+
+def _repeated_windows_apart(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The same for suffixes of very many blocks, a row for each window, so that no task holds a suffix."""
+    rows = _window_rows(docs, kinds.select("suffix", "block", "place.*"))
     # A block's fingerprint covers its suffix, so it names the block alone.
     windows = write_scratch(rows.select("suffix", "block", F.posexplode("hashes").alias("at", "hash")), "windows")
     # Equal rows share a name, so one window may come several times; two places are needed.
     place = F.xxhash64("block", "at")
     twice = windows.groupBy("suffix", "hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("suffix", "hash")
-    return windows.join(twice, ["suffix", "hash"]).groupBy("block").agg(F.collect_set("at").alias("windows"))
+    found = windows.join(twice, ["suffix", "hash"]).groupBy("block").agg(F.collect_set("at").alias("windows"))
+    return found.select("block", F.array_sort("windows").alias("windows"))
 
 
 def repeated_spans(docs: DataFrame, batches: int | None = None) -> DataFrame:
@@ -221,11 +265,15 @@ def repeated_spans(docs: DataFrame, batches: int | None = None) -> DataFrame:
         F.sum("copies").alias("n"), F.min(F.struct(_ID, _MARK, "start", "run")).alias("place")
     )
     kinds = write_scratch(kinds, "kinds")
-    several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("suffix")
-    partly = _repeated_windows(docs, write_scratch(kinds.join(several, "suffix"), "wanted"))
+    several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    wanted = write_scratch(kinds.join(several, "suffix"), "wanted")
+    partly = _repeated_windows(docs, wanted.where(F.col("kinds") <= MOST_KINDS))
+    many = wanted.where(F.col("kinds") > MOST_KINDS)
+    if not many.isEmpty():
+        partly = partly.unionByName(_repeated_windows_apart(docs, many))
     whole = kinds.where("n > 1").select("block", F.lit(None).cast("array<int>").alias("windows"))
     single = partly.join(kinds.where("n = 1").select("block"), "block")
-    repeated = whole.unionByName(single.select("block", F.array_sort("windows").alias("windows")))
+    repeated = whole.unionByName(single.select("block", "windows"))
     spans = members.join(repeated, "block").select(_ID, _MARK, F.struct("start", "run", "windows").alias("span"))
     return spans.groupBy(_ID, _MARK).agg(F.collect_list("span").alias("spans"))
 

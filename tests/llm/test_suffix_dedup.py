@@ -87,3 +87,34 @@ def test_levels_merge_geometrically(spark):
         assert hits == ({batch * 10} if batch else set())
         ranks.append([rank for rank, _ in family.levels])
     assert ranks == [[0], [0, 0], [1, 0], [1, 0, 0], [2, 0], [2, 0, 0], [2, 1, 0]]
+
+
+def test_suffixes_of_very_many_blocks(spark, monkeypatch):
+    """Beyond the bound the windows are compared one by one, with the same result."""
+    monkeypatch.setattr(suffix_dedup, "MOST_KINDS", 2)
+    assert check(documents(spark, overlapping()), 3) > 5000
+
+
+def test_equal_rows_grow_as_their_number(spark):
+    """Four hundred equal rows give no more spans to each than four do."""
+    text = sentence(random.Random(8), 300)
+
+    def spans(count):
+        docs = spark.createDataFrame([(1, text)] * count + [(2, "other " + text[:900])], "doc_id long, text string").repartition(3)
+        keyed = suffix_dedup._keyed(docs)
+        return suffix_dedup.repeated_spans(keyed, 2).where("suffix_id = 1").select(F.size("spans")).collect()
+
+    assert spans(4) == spans(400)
+    assert check(spark.createDataFrame([(1, text)] * 400, "doc_id long, text string"), 2) == 400 * len(text.encode())
+
+
+def test_levels_merge_by_size(spark, monkeypatch):
+    """The number of batches follows the bytes of the table, and equal levels merge."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 3_000)
+    ranks = []
+    settle = suffix_dedup.SuffixLevels._settle
+    monkeypatch.setattr(suffix_dedup.SuffixLevels, "_settle", lambda self: settle(self) or ranks.append([rank for rank, _ in self.levels]))
+    docs = documents(spark, overlapping())
+    check(docs, None)
+    assert len(ranks) == suffix_dedup._batch_count(docs) > 4
+    assert max(rank for levels in ranks for rank in levels) >= 2 and all(len(set(levels)) == len(levels) for levels in ranks)
