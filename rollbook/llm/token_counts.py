@@ -7,7 +7,10 @@ a boundary falls on an old one again, and updates the sums on the way up. A matc
 the pattern depends only on the text from its start on, so beyond that boundary all
 pre-tokens are as they were.
 
-Everything happens within a document's row; no text is shuffled. Positions count
+``count_tokens`` builds and edits the trees of a row within the row; no text is shuffled.
+``count_trees`` returns them as a table to be stored, and ``edit_trees`` takes a batch
+of edits to it: of the edited documents it reads the stored blocks, reads again what an
+edit touches, and returns their new blocks. Positions count
 characters (code points), as Spark's ``length`` does.
 
 Defined cases: a null text is empty; a null list of edits is none; an edit with a
@@ -22,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +50,21 @@ class CountTree:
         self.reread = 0
         self._build([words[i : i + BLOCK] for i in range(0, len(words), BLOCK)] or [[]])
 
+    @classmethod
+    def kept(cls, blocks: list[dict], split: Callable[[str], list[str]], count: Callable[[str], int]) -> CountTree:
+        """The tree of stored blocks; their sums are taken as they are."""
+        tree = cls([], split, count)
+        sums = iter([(block["chars"], block["tokens"]) for block in blocks] or [(0, 0)])
+        tree._sums = lambda _: next(sums)
+        tree._build([block["words"] for block in blocks] or [[]])
+        del tree._sums
+        return tree
+
+    def blocks(self) -> list[dict]:
+        """What is stored: the pre-tokens of each block that has any, with its characters and tokens."""
+        sums = zip(self._chars[self._half :], self._tokens[self._half :], self._blocks, strict=False)
+        return [{"words": words, "chars": chars, "tokens": tokens} for chars, tokens, words in sums if words]
+
     def _build(self, blocks: list[list[str]]) -> None:
         self._blocks = blocks
         self._half = 1 << (len(blocks) - 1).bit_length()
@@ -248,3 +266,74 @@ def with_edits(docs: DataFrame, edits: DataFrame, key: str = "doc_id") -> DataFr
         F.array_sort(F.collect_list(F.struct("seq", "start", "stop", "text"))).alias("edits")
     )
     return docs.join(lists.select(key, F.transform("edits", lambda e: F.struct(e["start"], e["stop"], e["text"])).alias("edits")), key, "left")
+
+
+# --- trees that are kept from batch to batch ----------------------------------
+
+BLOCKS = T.ArrayType(
+    T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("chars", T.LongType()), T.StructField("tokens", T.LongType())])
+)
+TREE = [("n_tokens", T.LongType()), ("blocks", BLOCKS)]
+_ARROW_BLOCKS = pa.list_(pa.struct([("words", pa.list_(pa.string())), ("chars", pa.int64()), ("tokens", pa.int64())]))
+
+
+def count_trees(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_tokens, blocks): the tree of every document, to be stored and edited batch by batch.
+
+    The blocks hold the text as well, as the pre-tokens in order.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        split, counter = regex.compile(pattern).findall, None
+        for batch in pieces(batches, text):
+            counter = counter or _Counter(sent.value)
+            words = [split(t) for t in texts_of(batch.column(text))]
+            counter.learn({w for row in words for w in row})
+            trees = [CountTree(row, split, counter) for row in words]
+            yield _tree_rows(key, batch.column(key), trees)
+
+    rows = docs.select(key, F.col(text).cast("string").alias(text))
+    return rows.mapInArrow(task, T.StructType([rows.schema[key], *(T.StructField(*f) for f in TREE)]))
+
+
+def _tree_rows(key: str, keys: pa.Array, trees: list[CountTree], *more: pa.Array, names: tuple[str, ...] = ()) -> pa.RecordBatch:
+    made = [pa.array([tree.tokens for tree in trees], pa.int64()), pa.array([tree.blocks() for tree in trees], _ARROW_BLOCKS)]
+    return pa.RecordBatch.from_arrays([keys, *made, *more], [key, "n_tokens", "blocks", *names])
+
+
+def edit_trees(trees: DataFrame, edits: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id") -> DataFrame:
+    """(key, n_tokens, blocks, n_reread): the edited trees alone, which take the place of the stored ones.
+
+    ``edits`` is a table (key, seq, start, stop, text). Trees of other documents are only
+    joined against, and not opened; a store laid out by a hash of the key need not
+    even read those of other parts. Edits of documents without a tree are left out.
+    """
+    edited = with_edits(trees.select(key, "blocks"), edits, key).where(F.col("edits").isNotNull())
+    sent = trees.sparkSession.sparkContext.broadcast(ranks)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        split, counter = regex.compile(pattern).findall, None
+        for whole in batches:
+            counter = counter or _Counter(sent.value)
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                found = []
+                for blocks, changes in zip(batch.column("blocks").to_pylist(), batch.column("edits").to_pylist(), strict=True):
+                    tree = CountTree.kept(blocks, split, counter)
+                    for e in changes:
+                        if e["start"] is not None and e["stop"] is not None:
+                            tree.replace(e["start"], e["stop"], e["text"] or "")
+                    found.append(tree)
+                yield _tree_rows(key, batch.column(key), found, pa.array([tree.reread for tree in found], pa.int64()), names=("n_reread",))
+
+    return edited.mapInArrow(task, T.StructType([trees.schema[key], *(T.StructField(*f) for f in TREE), T.StructField("n_reread", T.LongType())]))
+
+
+def text_of_tree() -> Column:
+    """The text that the blocks of a tree hold."""
+    return F.array_join(F.flatten(F.transform("blocks", lambda block: block["words"])), "")

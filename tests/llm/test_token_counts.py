@@ -4,9 +4,11 @@ import random
 
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 
 from rollbook.llm import token_counts
-from tests.llm.fixtures import documents, empty
+from rollbook.sources.snapshots import Snapshots, hash_parts
+from tests.llm.fixtures import documents, empty, sentence
 from tests.llm.test_bpe import PATTERN, RANKS, REFERENCE
 
 EDIT = "array<struct<start:int,stop:int,text:string>>"
@@ -66,3 +68,36 @@ def test_no_edits_and_no_rows(spark):
     none = empty(spark).selectExpr("*", f"cast(null as {EDIT}) edits")
     assert token_counts.count_tokens(none, RANKS, PATTERN).count() == 0
     assert isinstance(REFERENCE, tiktoken.Encoding)
+
+
+def test_kept_trees_over_three_batches(spark, tmp_path):
+    """Counts and texts equal those of a full recount; documents without edits are not even read."""
+    rng = random.Random(12)
+    words = {i: sentence(rng, rng.choice([0, 3, 40, 900])) for i in range(60)}
+    docs = spark.createDataFrame([(i, t or None) for i, t in words.items()], "doc_id long, text string")
+    store = Snapshots(spark, str(tmp_path), parts={"trees": hash_parts("doc_id", 16)})
+    store.write("trees", token_counts.count_trees(docs, RANKS, PATTERN), "first")
+    for batch in range(3):
+        rows, touched = [], rng.sample(sorted(words), 3)
+        for i in touched:
+            for seq in range(3):
+                start = rng.randint(0, len(words[i]) + 2)
+                stop, new = start + rng.randint(-1, 9), rng.choice(["", "x", " two words", "é\n\n 12"])
+                rows.append((i, seq, start, stop, new))
+                low, high = min(start, len(words[i])), min(max(start, stop), len(words[i]))
+                words[i] = words[i][:low] + new + words[i][high:]
+        rows.append((10**9, 0, 0, 0, "no such document"))
+        edits = spark.createDataFrame(rows, "doc_id long, seq int, start int, stop int, text string")
+        parts = store.touched("trees", edits)
+        trees = store.read("trees", parts=parts)
+        assert len(parts) <= 4 and trees.count() < 40
+        edited = token_counts.edit_trees(trees, edits, RANKS, PATTERN)
+        assert sorted(r.doc_id for r in edited.select("doc_id").collect()) == sorted(touched)
+        after = trees.join(edits.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(edited.drop("n_reread"))
+        store.write("trees", after, f"batch {batch}", parts=parts)
+        assert edited.agg(F.max("n_reread")).first()[0] < 300
+    found = store.read("trees").select("doc_id", "n_tokens", token_counts.text_of_tree().alias("text")).collect()
+    assert {r.doc_id: r.text for r in found} == words
+    whole = spark.createDataFrame(list(words.items()), "doc_id long, text string")
+    again = token_counts.count_trees(whole, RANKS, PATTERN).select("doc_id", "n_tokens").collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {r.doc_id: r.n_tokens for r in again}
