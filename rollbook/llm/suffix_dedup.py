@@ -47,11 +47,11 @@ BATCH_BYTES = 256_000_000
 MOST_BATCHES = 16
 #: Bits of a sort key that hold the position within a piece of text.
 PLACE_BITS = 28
-#: Hit suffixes, and wanted blocks, up to which they are broadcast instead of shuffled with the rows they meet.
+#: Hit suffixes, and rows that have any hit, up to which they are broadcast instead of shuffled with the rows they meet.
 BROADCAST_SUFFIXES = 2_000_000
-BROADCAST_BLOCKS = 1_000_000
-#: Different blocks of one suffix that one task compares.
-MOST_KINDS = 2_000
+BROADCAST_ROWS = 1_000_000
+#: Different blocks of one suffix that one task compares: about a million windows, some 60 MB.
+MOST_KINDS = 8_000
 #: Stands for a null doc_id in joins.
 NO_ID = -(2**63)
 
@@ -171,6 +171,11 @@ class SuffixLevels:
         return hits
 
 
+def _named(texts: DataFrame, names: DataFrame, kind: str = "left_semi") -> DataFrame:
+    """The rows that are named, or with left_anti the others; texts that are not wanted are not shuffled."""
+    return texts.join(checked_broadcast(names, BROADCAST_ROWS), [_ID, _MARK], kind).select(*texts.columns)
+
+
 def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(suffix, block, hashes): the fingerprints of all windows of the wanted blocks."""
     lists = wanted.groupBy(_ID, _MARK).agg(F.collect_list(F.struct("start", "run", "suffix", "block")).alias("wanted"))
@@ -189,7 +194,8 @@ def _window_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             hashes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(windows[at].view(np.int64)))
             yield pa.RecordBatch.from_arrays([flat.field("suffix"), flat.field("block"), hashes], ["suffix", "block", "hashes"])
 
-    return _long_texts(docs).join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "suffix long, block long, hashes array<long>")
+    texts = _named(_long_texts(docs), write_scratch(wanted.select(_ID, _MARK).distinct(), "wanted_rows"))
+    return texts.join(lists, [_ID, _MARK]).select("text", "wanted").mapInArrow(task, "suffix long, block long, hashes array<long>")
 
 
 def _found_together(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -315,7 +321,11 @@ def remove_repeats(docs: DataFrame, batches: int | None = None, as_text: bool =
         raise ValueError(f"the rows have columns {sorted(clash)} already")
     keyed = _keyed(docs)
     spans = repeated_spans(keyed, batches)
-    joined = keyed.join(spans, [_ID, _MARK], "left").drop(_ID, _MARK)
+    spans = write_scratch(spans, "spans")
+    names = spans.select(_ID, _MARK)
+    joined = _named(keyed, names).join(spans, [_ID, _MARK])
+    untouched = _named(keyed, names, "left_anti").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    joined = joined.select(*docs.columns, "spans").unionByName(untouched.select(*docs.columns, "spans"))
 
     def task(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(rows):
