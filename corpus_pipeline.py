@@ -40,19 +40,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ids; those of them that have no words either all stay.
     """
     docs = _rows_of(docs).withColumn("mark", F.xxhash64("text"))
-    found = minhash.near_groups(docs.select("doc_id", "text"), width=5, percent=80).where("component IS NOT NULL")
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark").alias("row")
-    found = write_scratch(found.select("component", row), "near_rows")
-    first = found.groupBy("component").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = minhash.near_groups(docs.select("doc_id", "text"), width=5, percent=80).select("component", row)
+    found = write_scratch(found, "near_rows")
+    linked = found.where("component IS NOT NULL")
+    first = linked.groupBy("component").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = checked_broadcast(write_scratch(first.drop("n"), "near_first"), minhash.BROADCAST_IDS)
-    dropped = found.join(first, "component").where(~F.col("row").eqNullSafe(F.col("first"))).select("row.doc_id", "row.mark").distinct()
+    dropped = linked.join(first, "component").where(~F.col("row").eqNullSafe(F.col("first"))).select("row.doc_id", "row.mark").distinct()
     dropped = checked_broadcast(write_scratch(dropped, "near_dropped"), minhash.BROADCAST_IDS)
     kept = docs.join(dropped, minhash.same_row(docs, dropped), "left_anti")
     bare = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     bare_rows, kept = kept.where(bare).select(*COLUMNS), kept.where(~bare)
+    # Only rows that are there several times are brought together; the others pass by.
+    repeated = found.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row.doc_id", "row.mark")
+    repeated = checked_broadcast(write_scratch(repeated, "near_repeated"), minhash.BROADCAST_IDS)
+    single = kept.join(repeated, minhash.same_row(kept, repeated), "left_anti").select(*COLUMNS)
+    several = kept.join(repeated, minhash.same_row(kept, repeated), "left_semi")
     # The least of the other columns, so that a repeated task keeps the same row.
-    kept = kept.groupBy("doc_id", "mark").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")).select("doc_id", "row.*")
-    return kept.select(*COLUMNS).unionByName(bare_rows)
+    several = several.groupBy("doc_id", "mark").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")).select("doc_id", "row.*")
+    return single.unionByName(several.select(*COLUMNS)).unionByName(bare_rows)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
