@@ -544,6 +544,28 @@ def keep_latest_head_office(spark, views):
     return locations.keep_latest_head_office(_locations_after_upsert(views)).select(*GEO_COLUMNS)
 
 
+def _batch_and_state(views) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The numbered batch, the newest offices after it, and the ids that they replace."""
+    target = views("geo_prev")
+    rows = locations.geo_rows(locations.add_geo_keys(views("company_file")), AS_OF)
+    numbered = locations.numbered_locations(target, rows, unique=True)
+    offices = locations.batch_offices(target, numbered)
+    return numbered, *locations.supersede(locations.newest_offices(target), offices)
+
+
+@check
+def keep_head_office_by_state(spark, views):
+    """As ``keep_latest_head_office``, from the table of the newest offices."""
+    numbered, _, gone = _batch_and_state(views)
+    merged = locations.merge_locations(views("geo_prev"), numbered, AS_OF)
+    return locations.drop_superseded(merged, gone).select(*GEO_COLUMNS)
+
+
+@check
+def newest_head_offices(spark, views):
+    return _batch_and_state(views)[1]
+
+
 # --- reconciliation and control ---
 
 

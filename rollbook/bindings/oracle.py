@@ -357,6 +357,9 @@ def oracle_text(text: str) -> str:
     return expand(full.replace("@AS_OF", AS_OF), DUCKDB_MACROS)
 
 
+TEXTS["keep_head_office_by_state"] = TEXTS["keep_latest_head_office"]
+TEXTS["newest_head_offices"] = """select organisation_id, max(id) id from geo_after
+where address_type='HEAD_OFFICE' and country='UK' and organisation_id is not null group by 1"""
 TEXTS["rowcount_observed"] = TEXTS["rowcount_diffs"]
 
 ORACLES = {name: oracle_text(text) for name, text in TEXTS.items()}

@@ -149,14 +149,23 @@ def upsert_locations(
     Ids continue after the highest one. Every row of the batch draws a number,
     so known addresses leave gaps, as they do in an auto-increment column.
     """
+    merged = merge_locations(target, numbered_locations(target, rows, unique), as_of)
+    return Upserted(merged, rows.filter(~has_key(["md5_key"])))
+
+
+def numbered_locations(target: DataFrame, rows: DataFrame, unique: bool = False) -> DataFrame:
+    """The batch with an ``id`` for each row, as ``merge_locations`` takes it; rows without a key are left out."""
     # The key is NULL where one of these is. They are the cheaper filter, as one
     # on the key would compute the hash a second time at the scan.
     keyed = rows.filter(has_key(["organisation_id", "post_code"]))
     if not unique:
         keyed = latest_per_key(keyed, ["md5_key"])
     last_id = target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    numbered = number_by_hash(keyed, "md5_key", last_id, "id")
-    merged = upsert(
+    return number_by_hash(keyed, "md5_key", last_id, "id")
+
+
+def merge_locations(target: DataFrame, numbered: DataFrame, as_of: dt.date) -> DataFrame:
+    return upsert(
         target,
         numbered,
         ["md5_key"],
@@ -167,8 +176,7 @@ def upsert_locations(
         },
         unique=True,
         ignore=ADDRESS_COLUMNS,
-    )
-    return Upserted(merged.next, rows.filter(~has_key(["md5_key"])))
+    ).next
 
 
 def is_home_head_office() -> Column:
@@ -200,3 +208,38 @@ def keep_latest_head_office(locations: DataFrame) -> DataFrame:
         .filter(F.col("__rank") == 1)
         .drop("__rank")
     )
+
+
+# --- the newest head offices as a table of their own ---
+
+
+def newest_offices(locations: DataFrame) -> DataFrame:
+    """(organisation_id, id): the home head office with the highest id of each organisation."""
+    offices = locations.filter(is_home_head_office() & F.col("organisation_id").isNotNull())
+    return offices.groupBy("organisation_id").agg(F.max("id").alias("id"))
+
+
+def batch_offices(target: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(organisation_id, id): the home head offices that a batch makes or makes again, by three columns of the table."""
+    known = target.select("md5_key", F.col("id").alias("known_id"), F.col("country").alias("known_country"))
+    met = numbered.select("md5_key", "organisation_id", "id", "country").join(known, "md5_key", "left")
+    country = F.when(F.col("known_id").isNull(), F.col("country")).otherwise(F.col("known_country"))
+    return met.filter(country == HOME_COUNTRY).select("organisation_id", F.coalesce("known_id", "id").alias("id"))
+
+
+def supersede(newest: DataFrame, offices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The newest offices after a batch, and the ids that are not the newest any more.
+
+    ``newest`` holds an organisation once. Only organisations of the batch can lose an
+    office, so that is all that is compared; nothing of the location table is sorted.
+    """
+    touched = offices.select("organisation_id").distinct()
+    candidates = newest.join(touched, "organisation_id", "left_semi").unionByName(offices)
+    latest = candidates.groupBy("organisation_id").agg(F.max("id").alias("id"))
+    gone = candidates.join(latest.withColumnRenamed("id", "latest"), "organisation_id").filter("id < latest").select("id")
+    return newest.join(touched, "organisation_id", "left_anti").unionByName(latest), gone
+
+
+def drop_superseded(locations: DataFrame, gone: DataFrame) -> DataFrame:
+    """The location table without the offices that a batch replaced, as many as the batch has rows at most."""
+    return locations.join(gone, "id", "left_anti").select(*locations.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.operators import codes, control, locations, organisations, reconcile
-from rollbook.operators.merge import Upserted, upsert
+from rollbook.operators.merge import Upserted, has_key, upsert
 from rollbook.sources import register as files
 from rollbook.sources.snapshots import Snapshots
 from rollbook.streaming import ingest
@@ -43,7 +43,7 @@ RECONCILED = {
 #: The tables that the monthly run reads, and pins when it starts.
 INPUTS = [
     "register", "organisation", "sic_code", "sic_counts", "category_totals", "code_analytics", "category_analytics",
-    "geo_location", "post_code_mappings", "sic_code_categories", "filetracker", "fragment_counts",
+    "geo_location", "post_code_mappings", "sic_code_categories", "filetracker", "fragment_counts", "head_offices",
 ]
 
 
@@ -205,7 +205,8 @@ def run_derived_tables(
     With ``file_date`` the counts and totals of that month are replaced first, by
     the sum of ``fragment_counts`` of this ``run`` if the ingest left any, else by a
     count of the register. With a table ``rowcounts`` the month is reconciled at last, from
-    what was counted as the tables were written.
+    what was counted as the tables were written. The newest head offices are kept as
+    ``head_offices``; from the second run on, older ones are found by that table alone.
 
     The run reads the versions that were newest when it started. One that died half-way
     may be started again under the same name: it reads the same versions, keeps the
@@ -267,10 +268,17 @@ def run_derived_tables(
     # The organisations were just taken from this register, so every row has its
     # parent and the check would only cost a join.
     if not store.finished("geo_location", run):
-        merged = refresh_locations(before("geo_location"), refreshed, as_of)
-        store.write("geo_location_rejects", merged.rejects, run)
+        geo, rows = before("geo_location"), locations.geo_rows(refreshed, as_of)
+        newest = before("head_offices") if pins["head_offices"] >= 0 else locations.newest_offices(geo)
+        store.write("geo_location_rejects", rows.filter(~has_key(["md5_key"])), run)
+        batch = store.write("geo_batch", locations.numbered_locations(geo, rows, unique=True), run)
+        after, gone = locations.supersede(newest, locations.batch_offices(geo, batch))
+        store.write("head_offices", after, run)
         changed = {CHANGED: reconcile.changed_count("date_last_modified", as_of, locations.is_home_head_office())}
-        store.write("geo_location", merged.next, run, count=changed)
+        # Without a table of the newest offices the location table may hold older ones besides.
+        merged = locations.merge_locations(geo, batch, as_of)
+        kept = locations.drop_superseded(merged, gone) if pins["head_offices"] >= 0 else locations.keep_latest_head_office(merged)
+        store.write("geo_location", kept, run, count=changed)
 
     if store.version("rowcounts") >= 0 and not store.finished("rowcounts", run):
         counts = {POTENTIAL: store.counted(of_run, run)[POTENTIAL]}

@@ -154,3 +154,32 @@ def test_at_most_one_home_head_office(spark, mapping):
     offices = refreshed.filter(locations.is_home_head_office()).groupBy("organisation_id").count()
     assert offices.agg(F.max("count")).first()[0] == 1
     assert offices.count() == 40
+
+
+def test_newest_offices_as_kept_state(spark):
+    """Batches that insert, that make an old address the office again, and one of a branch abroad."""
+    columns = "id long, organisation_id string, post_code string, md5_key string, address_type string, country string, date_last_modified date, last_modified_by string"
+    geo = spark.createDataFrame(
+        [
+            (1, "a", "P1", "a1", "HEAD_OFFICE", "UK", None, "s"),
+            (2, "b", "P2", "b2", "HEAD_OFFICE", "UK", None, "s"),
+            (3, "c", "P3", "c3", "BRANCH", "UK", None, "s"),
+            (4, "c", "P4", "c4", "HEAD_OFFICE", "UK", None, "s"),
+            (5, "d", "P5", "d5", "HEAD_OFFICE", "IE", None, "s"),
+            (6, None, "P6", None, "HEAD_OFFICE", "UK", None, "s"),
+        ],
+        columns,
+    )
+    batch = spark.createDataFrame(
+        [("a", "N", "00a9"), ("c", "P3", "c3"), ("d", "P5", "d5"), ("e", "N", "00e9")], "organisation_id string, post_code string, md5_key string"
+    ).withColumns({"address_type": F.lit("HEAD_OFFICE"), "country": F.lit("UK"), "date_last_modified": F.lit(AS_OF), "last_modified_by": F.lit("x")})
+    newest = locations.newest_offices(geo)
+    numbered = locations.numbered_locations(geo, batch, unique=True)
+    after, gone = locations.supersede(newest, locations.batch_offices(geo, numbered))
+    kept = locations.drop_superseded(locations.merge_locations(geo, numbered, AS_OF), gone)
+    expected = locations.keep_latest_head_office(locations.upsert_locations(geo, batch, AS_OF, unique=True).next)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, expected.collect()))
+    assert {row.id for row in gone.collect()} == {1, 3}
+    assert sorted(map(str, after.collect())) == sorted(map(str, locations.newest_offices(kept).collect()))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window [rank" not in plan
