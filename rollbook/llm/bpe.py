@@ -25,15 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rollbook.llm.common import pieces, text_bytes
+from rollbook.llm.common import give_back, pieces, text_bytes
 
 NONE = np.int32(2**31 - 1)
 #: Distinct units that a task remembers; beyond it the memory starts anew.
 MEMORY = 200_000
 #: Ids that decoding lays out at once.
-DECODE_IDS = 400_000
+DECODE_IDS = 200_000
 #: Bytes of text that one replay takes.
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 1_500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -283,6 +283,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str
         for batch in batches:
             table = table or _token_table(sent.value)
             yield from (_decoded(part, table, ids, into) for part in _parts(batch, ids))
+            give_back()
 
     return rows.mapInArrow(task, _with_column(rows, into, T.BinaryType()))
 

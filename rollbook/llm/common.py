@@ -6,6 +6,7 @@ pieces of a bounded number of bytes, and keep nothing between pieces.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,6 +103,13 @@ class RollingHash:
         return mix((self._sums[width:] - self._sums[:last]) * self._inverse[:last])
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as workers outlive a stage and share an executor's memory with the next."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes of text each, one row at least."""
     for batch in batches:
@@ -113,6 +121,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = PI
             until = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(at, until - at)
             at = until
+        give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
