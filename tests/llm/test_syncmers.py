@@ -67,7 +67,7 @@ def odd_texts():
     return [None, "", "a", "ab", "abcdefgh", "é" * 13, "é" * 40, "x" * 200, "ab" * 100, "word " * 50, "😀 the quick brown fox jumps over it\n" * 3]
 
 
-@pytest.mark.parametrize("block_rows", [3, 7, 10_000])
+@pytest.mark.parametrize("block_rows", [3, 10_000])
 def test_against_brute_force(spark, block_rows):
     rng = random.Random(11)
     texts = odd_texts() + [sentence(rng, rng.choice([3, 30, 200])) for _ in range(20)]
@@ -75,7 +75,7 @@ def test_against_brute_force(spark, block_rows):
     assert computed(spark, rows, block_rows=block_rows) == plain_rows(rows)
 
 
-@pytest.mark.parametrize("block_rows", [4, 10_000])
+@pytest.mark.parametrize("block_rows", [4])
 def test_repeated_ids_rows_and_nulls(spark, block_rows):
     rng = random.Random(12)
     rows = [(5, sentence(rng, 20)) for _ in range(30)]
