@@ -100,7 +100,10 @@ def op11_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_tiled_words(docs: DataFrame) -> DataFrame:
-    """The documents with the words of every tenth, by the hash of its id, laid out as repeats of a few of them."""
+    """The documents with the words of every tenth, by the hash of its id, laid out as repeats of a few of them.
+
+    A document without an id or without words stays as it is.
+    """
     key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     step = F.floor(key / 10)
