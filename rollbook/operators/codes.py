@@ -233,12 +233,16 @@ def _month_pair(facts: DataFrame, as_of: dt.date, **report: str) -> DataFrame:
 def _all_month_pairs(facts: DataFrame, months: Sequence[int], **report: str) -> DataFrame:
     """Every month with the one before it, in one join on key and month.
 
-    ``months`` are the months of the year that may be the later one.
+    ``months`` are the months of the year that may be the later one. Either side is
+    cut to the months it can use, so facts laid out by month are not read beyond these.
     """
-    after = facts.filter(F.month("file_date").isin(list(months))).withColumn(
-        "month", c.month_start(F.col("file_date"))
-    )
-    before = facts.withColumn("month", F.add_months(c.month_start(F.col("file_date")), 1))
+
+    def of_months(wanted: Sequence[int]) -> DataFrame:
+        return facts.filter(F.month("file_date").isin(list(wanted)))
+
+    start = c.month_start(F.col("file_date"))
+    after = of_months(months).withColumn("month", start)
+    before = of_months([(month - 2) % 12 + 1 for month in months]).withColumn("month", F.add_months(start, 1))
     return _compare(before, after, [report["key"], "month"], **report)
 
 

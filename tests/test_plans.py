@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from rollbook.bindings.checks import AS_OF, CHECKS
 from rollbook.functions import columns as c
 from rollbook.operators import codes, locations
+from rollbook.sources.snapshots import Parts, Snapshots
 
 SF_DIR = "/root/testdata/sf0.001"
 # These run jobs of their own and return a scan of the outcome.
@@ -61,3 +64,46 @@ def test_head_offices_are_cut_before_the_shuffle(spark):
 def test_in_month_is_a_range(spark):
     text = str(c.in_month(spark.range(1).selectExpr("current_date() d").d, AS_OF))
     assert "month(" not in text.lower()
+
+
+@pytest.fixture
+def broken_but(spark, tmp_path):
+    """A fact in monthly parts over two years, of which only the files of the given months can be read."""
+
+    def make(name, count, months):
+        store = Snapshots(spark, str(tmp_path / "store"), parts={name: Parts("file_date")})
+        days = spark.range(24).selectExpr("add_months(date '2000-01-01', cast(id as int)) file_date", "id + 1 n")
+        facts = days.selectExpr("'10' sic_code", "'10' Category", f"n {count}", "file_date")
+        stored = store.write(name, facts, "first")
+        broken = 0
+        for file in (tmp_path / "store" / name).rglob("*.parquet"):
+            if file.parent.name.removeprefix("file_date=") not in {str(month) for month in months}:
+                file.write_bytes(b"broken")
+                (file.parent / f".{file.name}.crc").unlink()
+                broken += 1
+        assert broken == 24 - len(months)
+        return stored
+
+    return make
+
+
+REPORTS = [
+    ("sic_counts", "counts", codes.code_month_over_month, codes.backfill_codes),
+    ("category_totals", "count", codes.category_month_over_month, codes.backfill_categories),
+]
+
+
+@pytest.mark.parametrize("name, count, of_month, _", REPORTS)
+def test_month_pair_reads_two_parts(broken_but, name, count, of_month, _):
+    stored = broken_but(name, count, [dt.date(2001, 6, 1), dt.date(2001, 7, 1)])
+    found = [(row.first_month_count, row.second_month_count) for row in of_month(stored, AS_OF).collect()]
+    assert found == [(18, 19)]
+
+
+@pytest.mark.parametrize("name, count, _, backfill", REPORTS)
+def test_backfill_reads_the_wanted_months_and_those_before(broken_but, name, count, _, backfill):
+    # January's month before is in the year before; the first January has none.
+    readable = [dt.date(year, month, 1) for year in (2000, 2001) for month in (1, 5, 6, 12)]
+    stored = broken_but(name, count, readable)
+    found = sorted((str(row.second_month), row.first_month_count, row.second_month_count) for row in backfill(stored, [1, 6]).collect())
+    assert found == [("2000-06-01", 5, 6), ("2001-01-01", 12, 13), ("2001-06-01", 17, 18)]
