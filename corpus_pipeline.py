@@ -83,7 +83,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode every text and decode it again: ids, their number, and whether the round trip is exact."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
-    decoded = bpe.decode(bpe.encode(_rows_of(docs), ranks, public_tokenizers.PATTERN), ranks)
+    decoded = bpe.round_trip(_rows_of(docs), ranks, public_tokenizers.PATTERN)
     exact = F.col("bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return decoded.select("doc_id", "lang", "source", "n_chars", "ids", F.size("ids").cast("bigint").alias("n_tokens"), exact.alias("exact"))
 

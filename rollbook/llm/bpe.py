@@ -17,16 +17,19 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rollbook.llm.common import give_back, pieces, text_bytes
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 NONE = np.int32(2**31 - 1)
 #: Distinct units that a task remembers; beyond it the memory starts anew.
 MEMORY = 200_000
@@ -256,10 +259,7 @@ def _with_column(rows: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*rows.schema.fields, T.StructField(name, kind)])
 
 
-def encode(rows: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """Add the token ids of a text column. The vocabulary is broadcast: its size is that of its file."""
-    sent = rows.sparkSession.sparkContext.broadcast(ranks)
-
+def _encoding(sent: Broadcast, pattern: str, text: str, into: str) -> Task:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in pieces(batches, text, CHUNK_BYTES):
@@ -268,7 +268,24 @@ def encode(rows: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, into])
 
-    return rows.mapInArrow(task, _with_column(rows, into, T.ArrayType(T.IntegerType())))
+    return task
+
+
+def _decoding(sent: Broadcast, ids: str, into: str) -> Task:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None
+        for batch in batches:
+            table = table or _token_table(sent.value)
+            yield from (_decoded(part, table, ids, into) for part in _parts(batch, ids))
+            give_back()
+
+    return task
+
+
+def encode(rows: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
+    """Add the token ids of a text column. The vocabulary is broadcast: its size is that of its file."""
+    sent = rows.sparkSession.sparkContext.broadcast(ranks)
+    return rows.mapInArrow(_encoding(sent, pattern, text, into), _with_column(rows, into, T.ArrayType(T.IntegerType())))
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str = "bytes") -> DataFrame:
@@ -277,15 +294,21 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str
     An id that the vocabulary lacks is an error.
     """
     sent = rows.sparkSession.sparkContext.broadcast(ranks)
+    return rows.mapInArrow(_decoding(sent, ids, into), _with_column(rows, into, T.BinaryType()))
+
+
+def round_trip(rows: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", into: str = "bytes") -> DataFrame:
+    """``decode`` of ``encode`` in one Python worker a task instead of two, which Spark keeps for later stages."""
+    sent = rows.sparkSession.sparkContext.broadcast(ranks)
+    encoding, decoding = _encoding(sent, pattern, text, ids), _decoding(sent, ids, into)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None
-        for batch in batches:
-            table = table or _token_table(sent.value)
-            yield from (_decoded(part, table, ids, into) for part in _parts(batch, ids))
-            give_back()
+        return decoding(encoding(batches))
 
-    return rows.mapInArrow(task, _with_column(rows, into, T.BinaryType()))
+    if ids == into:
+        raise ValueError(f"both new columns are named {ids}")
+    kinds = [*_with_column(rows, ids, T.ArrayType(T.IntegerType())), *_with_column(rows, into, T.BinaryType())[-1:]]
+    return rows.mapInArrow(task, T.StructType(kinds))
 
 
 def _parts(batch: pa.RecordBatch, ids: str, most: int = DECODE_IDS) -> Iterator[pa.RecordBatch]:

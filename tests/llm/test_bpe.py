@@ -61,3 +61,17 @@ def test_edges(spark):
         bpe.decode(spark.sql("select array(99999999) ids"), RANKS).collect()
     rows = bpe.decode(spark.sql("select cast(null as array<int>) ids union all select array()"), RANKS).collect()
     assert [bytes(r["bytes"]) for r in rows] == [b"", b""]
+
+
+def test_round_trip_is_decode_of_encode(spark):
+    docs = documents(spark)
+    apart = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS)
+    together = bpe.round_trip(docs, RANKS, PATTERN)
+    assert together.dtypes == apart.dtypes
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+    assert bpe.round_trip(empty(spark), RANKS, PATTERN).count() == 0
+    for clash in ("ids", "bytes"):
+        with pytest.raises(ValueError):
+            bpe.round_trip(docs.withColumn(clash, F.lit(1)), RANKS, PATTERN)
+    with pytest.raises(ValueError):
+        bpe.round_trip(docs, RANKS, PATTERN, ids="bytes")

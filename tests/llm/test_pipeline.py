@@ -87,3 +87,11 @@ def test_rows_without_an_id_are_judged_too(spark):
     assert _left(corpus_pipeline.drop_near_copies(spark, _rows(spark, rows), SF_DIR)) == expected
     rows = [(None, f"{unlike} {_item(spark)} {third}"), (None, unlike), (8, third)]
     assert _left(corpus_pipeline.drop_contaminated(spark, _rows(spark, rows), SF_DIR)) == sorted(rows[1:], key=str)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_a_task_of_a_stage_holds_one_python_worker(spark, name, stage):
+    # Workers that run one after the other in a task live at the same time, and Spark keeps them for the stages after.
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(50)
+    plan = stage(spark, corpus_pipeline.write_scratch(docs, name), SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") <= 1
